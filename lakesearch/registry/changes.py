@@ -102,7 +102,7 @@ _DIFF = """, diff as (
 # modifies as there are deletes of the same content.
 _MOVED = """, blobs as (
   select repo_name, coalesce(new_blob, old_blob) as blob, sum((status = 'A')::int) as adds, sum((status = 'D')::int) as dels
-  from diff where status in ('A', 'D') group by all)
+  from diff group by all)
 """
 
 ORACLES = {

@@ -53,7 +53,7 @@ select p_partkey as query_id, case p_partkey % 10
   when 3 then 'Compare ' || p_name || ' versus another option'
   when 4 then 'Fix the error in fn_' || (p_partkey % 5) || '() because it fails'
   when 5 then 'Build a new Cls' || (p_partkey % 6) || ' component for the backend api'
-  when 6 then 'Where is file_' || (p_partkey % 40) || '.md located'
+  when 6 then 'Where is file_' || (p_partkey % 40 + 3) || '.md located'
   when 7 then 'find class Cls' || (p_partkey % 6) || ' and function fn_' || (p_partkey % 5)
   when 8 then p_name else '' end as query
 from part""",

@@ -31,7 +31,7 @@ def _cell(value):
     if value is None:
         return None
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
+        return None if math.isnan(value) else round(value, 9) + 0.0
     if hasattr(value, "isoformat"):
         return value.replace(tzinfo=None).isoformat()
     return value
