@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ["changes", "file_types", "analysis", "retrieval"]
+FAMILIES = ["changes", "file_types", "analysis", "retrieval", "context", "conversations"]
 
 QUERIES = {}
 ORACLES = {}
