@@ -13,6 +13,7 @@ from lakesearch.functions.filters import compile_filter
 from lakesearch.functions.text import escape_regex, is_blank, sorted_set, strip
 from lakesearch.operators.analysis import CONTEXTUAL, DIRECT, FILES, SEMANTIC
 from lakesearch.operators.topk import top_k
+from lakesearch.session import staged
 
 CARRIED = ["id", "file_path", "line_start"]
 
@@ -253,10 +254,10 @@ def search_terms(vectors: DataFrame, probes: DataFrame, key: list[str] = PROBE_K
     def scope() -> Column:
         return F.concat_ws("\x01", "namespace", "strategy", "term")
 
-    hits = match_terms(vectors, probes.select("namespace", "strategy", "term"))
+    hits = staged(match_terms(vectors, probes.select("namespace", "strategy", "term")), "term_hits")
     chosen = vectors.select("namespace", *carry, "embedding").join(hits, ["namespace", "id"])
     return top_k(chosen.select(scope().alias("scope"), "namespace", F.lit(0).alias("bits"), *carry, "embedding"),
-                 probes.withColumn("scope", scope()).drop("term"), key)
+                 probes.withColumn("scope", scope()).drop("term"), key, hits.select(scope().alias("scope")))
 
 
 def _term_strategy(vectors: DataFrame, probes: DataFrame, name: str) -> DataFrame:

@@ -102,7 +102,7 @@ def _broadcast_blocks(vectors: DataFrame, probes: pa.Table, schema: T.StructType
     return vectors.mapInArrow(score, schema)
 
 
-def _shuffled_blocks(vectors: DataFrame, probes: DataFrame, schema: T.StructType) -> DataFrame:
+def _shuffled_blocks(vectors: DataFrame, probes: DataFrame, scopes: DataFrame, schema: T.StructType) -> DataFrame:
     names = schema.fieldNames()
 
     def blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
@@ -111,7 +111,7 @@ def _shuffled_blocks(vectors: DataFrame, probes: DataFrame, schema: T.StructType
     def numbers(count: str):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    sizes = blocks(vectors, "v_blocks", VECTOR_BLOCK).join(blocks(probes, "q_blocks", PROBE_BLOCK), "scope")
+    sizes = blocks(scopes, "v_blocks", VECTOR_BLOCK).join(blocks(probes, "q_blocks", PROBE_BLOCK), "scope")
     left = (vectors.join(sizes, "scope")
             .withColumn("v_block", F.pmod(F.xxhash64("id"), F.col("v_blocks")).cast("int"))
             .withColumn("q_block", numbers("q_blocks")).drop("v_blocks", "q_blocks"))
@@ -137,12 +137,13 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return plain[kind.simpleString()]
 
 
-def top_k(vectors: DataFrame, probes: DataFrame, key: list[str]) -> DataFrame:
+def top_k(vectors: DataFrame, probes: DataFrame, key: list[str], scopes: DataFrame | None = None) -> DataFrame:
     """The k best vectors of each probe's scope.
 
     ``vectors``: scope STRING, id STRING, bits INT, embedding, other columns to carry.
     ``probes``: scope STRING, need INT (bits a vector must have), k INT, qvec, and other
     columns to carry, of which ``key`` names one probe.
+    ``scopes``: one ``scope`` per vector row, where that is cheaper to count than ``vectors``.
     Returns the carried columns with ``score`` and ``rank``.
     """
     vectors = vectors.where("size(embedding) > 0")
@@ -156,7 +157,7 @@ def top_k(vectors: DataFrame, probes: DataFrame, key: list[str]) -> DataFrame:
     if head.num_rows <= BROADCAST_PROBES and head.nbytes <= BROADCAST_BYTES:
         scored = _broadcast_blocks(vectors, head.append_column("cut", head.column("k")), _with_cut(schema))
     else:
-        scored = _shuffled_blocks(vectors, probes.withColumn("cut", F.col("k")), _with_cut(schema))
+        scored = _shuffled_blocks(vectors, probes.withColumn("cut", F.col("k")), scopes or vectors, _with_cut(schema))
     order = Window.partitionBy(*key).orderBy(F.desc("score"), "id")
     return (scored.withColumn("rank", F.row_number().over(order))
             .where(F.col("rank") <= F.col("cut")).drop("cut"))

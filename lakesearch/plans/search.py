@@ -8,16 +8,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakesearch.operators import retrieval as R
 from lakesearch.operators.analysis import analyze_query
+from lakesearch.session import staged
 
 Embed = Callable[[DataFrame], DataFrame]
 
 
 def plan_probes(requests: DataFrame, vectors: DataFrame, profiles: DataFrame, mapping: DataFrame,
                 embed: Embed, defaults: list[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(probes, targets): embedded probes, and the (query, namespace) rows behind them."""
+    """(probes, targets): embedded probes, and the (query, namespace) rows behind them.
+
+    Both are written once: every search step reads them, and the model must not be asked
+    the same texts again.
+    """
     asked = requests.where(F.coalesce("query", F.lit("")) != "")
-    targets = R.resolve_namespaces(analyze_query(asked), vectors, mapping, defaults)
-    probes = embed(R.expand_probe_text(R.strategy_probes(targets, profiles)))
+    targets = staged(R.resolve_namespaces(analyze_query(asked), vectors, mapping, defaults), "targets")
+    probes = staged(embed(R.expand_probe_text(R.strategy_probes(targets, profiles))), "probes")
     return probes, targets
 
 

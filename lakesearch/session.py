@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -45,3 +45,15 @@ def work_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="lakesearch-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/lakesearch/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and read it back.
+
+    For results that several later steps read and that are costly to repeat (model calls,
+    text matching). The written table survives lost executors, cuts the lineage, and gives
+    the optimizer its true size.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -45,10 +45,12 @@ def _rows(records, names):
 
 def compare(spark, con, sf_dir, query, sql):
     """(ok, message) for one query."""
+    started = time.time()
     df = query(spark, sf_dir)
     got = _rows([tuple(r) for r in df.collect()], df.columns)
+    took = f"spark {time.time() - started:.1f}s,"
     if sql is None:
-        return True, f"{len(got)} rows, no oracle"
+        return True, f"{took} {len(got)} rows, no oracle"
     rel = con.execute(sql)
     names = [d[0] for d in rel.description]
     want = _rows(rel.fetchall(), names)
@@ -65,7 +67,7 @@ def compare(spark, con, sf_dir, query, sql):
     bad = [(a, b) for a, b in zip(got, want) if a != b]
     if bad:
         return False, f"{len(bad)} of {len(got)} rows differ, first:\n   spark  {bad[0][0]}\n   oracle {bad[0][1]}"
-    return bool(got), f"{len(got)} rows"
+    return bool(got), f"{took} {len(got)} rows"
 
 
 def main(argv):
