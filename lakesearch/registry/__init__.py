@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ["changes", "file_types", "analysis", "retrieval", "context", "conversations"]
+FAMILIES = ["changes", "file_types", "analysis", "retrieval", "context", "conversations", "chunking"]
 
 QUERIES = {}
 ORACLES = {}
