@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ["changes", "file_types", "analysis", "retrieval", "context", "conversations", "chunking", "embedding", "vectors", "sources"]
+FAMILIES = ["changes", "file_types", "analysis", "retrieval", "context", "conversations", "chunking", "embedding", "vectors", "sources", "streaming"]
 
 QUERIES = {}
 ORACLES = {}

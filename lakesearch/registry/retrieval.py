@@ -62,10 +62,11 @@ def mapping(spark, sf):
 def embedder(spark, sf):
     """Stand-in model: a probe's vector is the embedding with its number."""
     stored = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("qvec"))
+    total = stored.agg(F.count(F.lit(1))).scalar()
 
     def embed(probes):
         order = F.col("strategy_ord") * 7 + F.col("term_pos") if "strategy_ord" in probes.columns else F.lit(0)
-        return (probes.withColumn("vec_id", F.pmod(F.col("query_id") * 31 + order, F.lit(500)))
+        return (probes.withColumn("vec_id", F.pmod(F.col("query_id") * 31 + order, total))
                 .join(stored, "vec_id").drop("vec_id"))
 
     return embed
@@ -323,7 +324,7 @@ qv as (select vec_id, embedding::double[] as qvec from embeddings),
 ev as (select id, embedding::double[] as embedding from vectors),
 scored as (
   select c.*, round(list_cosine_similarity(qv.qvec, ev.embedding), 6) as score
-  from cand c join qv on qv.vec_id = (c.query_id * 31 + c.strategy_ord * 7 + c.term_pos) % 500 join ev using (id)),
+  from cand c join qv on qv.vec_id = (c.query_id * 31 + c.strategy_ord * 7 + c.term_pos) % (select count(*) from embeddings) join ev using (id)),
 matches as (
   select *, row_number() over (partition by query_id, namespace_ord, strategy, term_pos order by score desc, id)::int as rank
   from scored qualify rank <= k)
@@ -345,7 +346,7 @@ _BASIC = """, basic as (
   select t.query_id, t.namespace, t.namespace_ord, v.id, v.file_path, v.line_start,
     round(list_cosine_similarity(qv.qvec, ev.embedding), 6) as score
   from targets t join analysis a using (query_id) join vecs v using (namespace) join ev using (id)
-    join qv on qv.vec_id = t.query_id * 31 % 500
+    join qv on qv.vec_id = t.query_id * 31 % (select count(*) from embeddings)
   where t.query <> '' and t.query_id not in (select query_id from {found})),
 basic5 as (select *, row_number() over (partition by query_id, namespace_ord order by score desc, id)::int as rank from basic qualify rank <= 5)
 """

@@ -57,7 +57,7 @@ def list_archives(spark, sf):
 
 def read_vectors_pruned_query(spark, sf):
     path = work_path(spark, "vectors")
-    write_vectors(fixture(spark, sf, "vectors"), path)
+    write_vectors(fixture(spark, sf, "vectors"), path, V.BUCKETS)
     return read_vectors_pruned(spark, path, ["ns1", "ns4", "ns7"]).select("id", "namespace", "file_path", "line_start", "content")
 
 

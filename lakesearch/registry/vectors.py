@@ -57,9 +57,15 @@ def health_summary(spark, sf):
     return V.health_summary(_vectors(spark, sf))
 
 
+PART_RECORDS = 100
+
+
 def archives(spark, sf):
-    """Archive documents per repository, commit and part, as (path, content BINARY)."""
-    rows = _vectors(spark, sf).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(4)))
+    """Archive documents per repository, commit and part, as (path, content BINARY).
+
+    A part covers ``PART_RECORDS`` vector numbers, so no document grows with its commit.
+    """
+    rows = _vectors(spark, sf).withColumn("part", F.floor(F.col("vec_id") / PART_RECORDS))
     vector = F.struct("id", F.col("embedding").alias("values"), F.struct(
         "namespace", "repo_name", "file_path", "commit_sha", "content", "line_start", "live").alias("metadata"))
     documents = rows.groupBy("repo_name", "commit_sha", "part").agg(
@@ -70,19 +76,18 @@ def archives(spark, sf):
 
 
 def _checksums(blobs):
-    """One recorded checksum in four is wrong."""
-    wrong = F.col("path").endswith("archive-3.json")
+    """The recorded checksums of parts numbered 3, 13, 23, ... are wrong."""
+    wrong = F.col("path").endswith("3.json")
     return blobs.select("path", F.when(wrong, F.sha2(F.concat(F.col("content"), F.lit(b"x")), 256))
                         .otherwise(F.sha2("content", 256)).alias("archive_sha256"))
 
 
 def verify_checksum(spark, sf):
-    """How many vectors of each commit are in archives that pass and in ones that fail."""
+    """Vectors of each commit in archives that pass."""
     blobs = archives(spark, sf)
     checked = V.verify_checksum(blobs, _checksums(blobs)).where("valid")
-    kept = sources.read_archive(checked).groupBy("repo_name", "commit_sha").agg(
+    return sources.read_archive(checked).groupBy("repo_name", "commit_sha").agg(
         F.count(F.lit(1)).alias("valid_vectors"), F.sum(F.substring("id", 2, 20).cast("bigint")).alias("ids"))
-    return kept.groupBy("repo_name").agg(F.max("valid_vectors").cast("bigint").alias("most"))
 
 
 def restore_vectors(spark, sf):
@@ -143,13 +148,21 @@ def sync_failures(spark, sf):
     return _sync(spark, sf).failures
 
 
+# Few buckets: the tables here are small.
+BUCKETS = 2
+
+
+def table_summary(rows):
+    return rows.groupBy("namespace", "status").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("file_path").alias("files"))
+
+
 def write_vectors_query(spark, sf):
     """Write the table, apply a sync to it on disk, read it back."""
     path = work_path(spark, "vectors")
-    write_vectors(_stored(spark, sf), path)
-    S.apply_sync_to_table(path, _sync(spark, sf))
-    return read_vectors(spark, path).groupBy("namespace", "status").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("file_path").alias("files"))
+    write_vectors(_stored(spark, sf), path, BUCKETS)
+    S.apply_sync_to_table(path, _sync(spark, sf), BUCKETS)
+    return table_summary(read_vectors(spark, path))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -163,12 +176,13 @@ _TARGETS_SQL = """, t as (select repo_name, max(commit_sha) as sha from vectors
 """
 
 # Changed paths are unique, so collapsing keeps each change; the moved paths do not exist.
-_SYNC = ALL_CHUNKS + f""", ch as (
+def sync_sql(max_tokens):
+    return ALL_CHUNKS + f""", ch as (
   select doc_id, repo_name, case doc_id % 6 when 0 then 'A' when 1 then 'M' when 2 then 'D' when 3 then 'D' when 4 then 'T' end as status,
     (doc_id % 7 = 0) as lost, case when doc_id % 7 = 0 then 'lost/' else '' end || file_path as path from files where doc_id % 6 <> 5),
 moved as (select distinct repo_name, 'M' as status, 'moved/x' as path from files where doc_id % 6 = 3),
 ids as (select *, sha256(repo_name || chr(1) || file_path || chr(1) || chunk_index || chr(1) || content) as id from chunks),
-made as (select i.*, ch.status, token_count <= {MAX_SYNC_TOKENS} as embedded, row_number() over (partition by i.repo_name order by file_path, chunk_index) - 1 as n
+made as (select i.*, ch.status, token_count <= {max_tokens} as embedded, row_number() over (partition by i.repo_name order by file_path, chunk_index) - 1 as n
   from ids i join ch using (doc_id) where ch.status <> 'D' and not lost),
 bad as (select repo_name, n // 10 as batch, arg_min(file_path, n) filter (not embedded) as cause from made group by all having bool_or(not embedded)),
 kept as (select m.* from made m left join bad b on b.repo_name = m.repo_name and b.batch = m.n // 10 where b.batch is null),
@@ -181,7 +195,13 @@ final as (
 missing as (select repo_name, path as file_path, status from ch where lost and status <> 'D' union all select repo_name, path, status from moved)
 """
 
+
+_SYNC = sync_sql(MAX_SYNC_TOKENS)
+SUMMARY_SQL = "select namespace, status, count(*) as n, count(distinct file_path) as files from final group by all"
+
 ORACLES = {
+    "verify_checksum": _V + """select repo_name, commit_sha, count(*) as valid_vectors, sum(vec_id)::bigint as ids from vectors
+where (vec_id // 100) % 10 <> 3 group by all""",
     "delete_by_file": _V + f"""select {_META} from vectors v where not exists (select 1 from vectors d
   where d.vec_id % 9 = 0 and d.namespace = v.namespace and d.repo_name = v.repo_name and d.file_path = v.file_path)""",
     "delete_by_id": _V + f"select {_META} from vectors where vec_id % 4 <> 1",
@@ -199,8 +219,8 @@ from vectors v left join t using (repo_name)""",
   count_if(commit_sha = sha)::bigint as activated_count from vectors join t using (repo_name) group by all""",
     "apply_sync": _SYNC + "select * from final",
     "sync_failures": _SYNC + """select repo_name, file_path, 'process' as operation, 'File marked as ' || status || ' but not found: ' || file_path as message, status from missing
-union all select distinct m.repo_name, file_path, 'upsert', 'Attempted to upsert empty embedding: ' || cause, status
-from made m join bad b on b.repo_name = m.repo_name and b.batch = m.n // 10""",
+union all select * exclude (batch) from (select distinct m.repo_name, file_path, 'upsert', 'Attempted to upsert empty embedding: ' || cause, status, batch
+from made m join bad b on b.repo_name = m.repo_name and b.batch = m.n // 10)""",
     "sync_report": _SYNC + """, r as (select repo_name, count_if(status <> 'D' and not lost) as processed,
     count_if(status = 'D' or (not lost and status in ('A', 'M'))) as deleted_files from ch group by all)
 select repo_name, processed::bigint as processed, coalesce(s, 0)::bigint as skipped, (coalesce(s, 0) + coalesce(b, 0))::bigint as errors,
@@ -208,5 +228,5 @@ select repo_name, processed::bigint as processed, coalesce(s, 0)::bigint as skip
 from r left join (select repo_name, count(*) as s from missing group by all) using (repo_name)
   left join (select repo_name, count(*) as b from bad group by all) using (repo_name)
   left join (select repo_name, count(*) as k from kept group by all) using (repo_name)""",
-    "write_vectors": _SYNC + "select namespace, status, count(*) as n, count(distinct file_path) as files from final group by all",
+    "write_vectors": _SYNC + SUMMARY_SQL,
 }
