@@ -25,7 +25,9 @@ def compile_filter(tree: dict[str, Any] | None, schema: StructType) -> Column:
             parts.extend(_compare(key, op, value, schema) for op, value in condition.items())
         else:
             parts.append(_compare(key, "$in", [condition], schema))
-    return F.coalesce(reduce(and_, parts), F.lit(False)) if parts else F.lit(True)
+    # A null outcome counts as no match where the predicate is used; wrapping it here
+    # would keep it from being pushed to the scan.
+    return reduce(and_, parts) if parts else F.lit(True)
 
 
 def _compare(field: str, op: str, value: Any, schema: StructType) -> Column:

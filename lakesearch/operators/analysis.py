@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakesearch.functions.text import contains_any, count_tokens, sorted_set
+from lakesearch.functions.text import contains_any, count_tokens, let, sorted_set
 
 # Query classes in order of preference, each with its patterns.
 CLASS_PATTERNS = {
@@ -76,11 +76,12 @@ def query_type(query: Column) -> Column:
     names = F.array(*[F.lit(name) for name in CLASS_PATTERNS])
     scores = F.array(*[sum((F.regexp_count(text, F.lit(p)) for p in patterns), F.lit(0))
                        for patterns in CLASS_PATTERNS.values()])
-    best = F.array_position(scores, F.array_max(scores)).cast("int")
-    return (F.when(F.array_max(scores) > 0, F.element_at(names, best))
-            .when(contains_any(text, FIND_WORDS),
-                  F.when(contains_any(text, FIND_EXTENSIONS), "file_search").otherwise("code_search"))
-            .otherwise("conceptual"))
+    best = let(scores, lambda s: F.when(
+        F.array_max(s) > 0, F.element_at(names, F.array_position(s, F.array_max(s)).cast("int"))))
+    unscored = (F.when(contains_any(text, FIND_WORDS),
+                       F.when(contains_any(text, FIND_EXTENSIONS), "file_search").otherwise("code_search"))
+                .otherwise("conceptual"))
+    return F.coalesce(best, unscored)
 
 
 def entities(query: Column) -> Column:
@@ -138,14 +139,18 @@ def analyze_query(questions: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     context = (F.coalesce(F.col("repository_context"), F.lit(""))
                if "repository_context" in questions.columns else F.lit(""))
-    return (questions
-            .withColumns({
-                "query_type": F.when(blank, "conceptual").otherwise(query_type(query)),
-                "entities": F.when(blank, none).otherwise(entities(query)),
-                "specific_targets": F.when(blank, none).otherwise(specific_targets(query)),
-                "intent_keywords": F.when(blank, none).otherwise(intent_keywords(query)),
-                "confidence": F.when(blank, 0.1).otherwise(0.9),
-                "repository_context": context})
+    parsed = {
+        "query_type": F.when(blank, "conceptual").otherwise(query_type(query)),
+        "entities": F.when(blank, none).otherwise(entities(query)),
+        "specific_targets": F.when(blank, none).otherwise(specific_targets(query)),
+        "intent_keywords": F.when(blank, none).otherwise(intent_keywords(query)),
+        "confidence": F.when(blank, 0.1).otherwise(0.9),
+        "repository_context": context}
+    # The generator keeps Catalyst from merging the two projections, which would match
+    # every pattern again for each later use of the entities.
+    once = F.inline(F.array(F.struct(*[c.alias(name) for name, c in parsed.items()])))
+    others = [c for c in questions.columns if c != "repository_context"]
+    return (questions.select(*others, once)
             .withColumns({
                 "scope": F.when(blank, "file").otherwise(scope(query, F.col("entities"))),
                 "complexity": F.when(blank, "simple").otherwise(complexity(query, F.col("entities"))),

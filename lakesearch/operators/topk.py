@@ -29,7 +29,8 @@ PROBE_BLOCK = 4096
 SCORE_CELLS = 4 << 20
 
 _UNIT = 10 ** SCORE_DIGITS
-_WORST = np.iinfo(np.int64).min
+# Below every key, and still so when negated and back.
+_WORST = -np.iinfo(np.int64).max
 _PROBE_ONLY = ["scope", "need", "k", "qvec"]
 _VECTOR_ONLY = ["scope", "bits", "embedding"]
 
