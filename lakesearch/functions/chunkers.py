@@ -16,7 +16,7 @@ SENTENCE_TOKENS, SENTENCE_OVERLAP = 1024, 200
 MAX_TOKENS, PIECE_CHARS = 8192, 3000
 PREVIEW_LINES, SUMMARY_PREVIEW = 20, 500
 SUMMARY_PREVIEW_TYPES = ["txt", "log", "conf", "ini", "cfg"]
-JSON_DEPTH = 8
+JSON_DEPTH = 6
 
 _NO_STARTS = "cast(array() as array<int>)"
 

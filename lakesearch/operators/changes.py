@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakesearch.functions.text import strip
+from lakesearch.session import staged
 
 
 def _change(status: Column, path: Column) -> Column:
@@ -93,8 +94,10 @@ def detect_renames(diff: DataFrame) -> DataFrame:
 
     Adds and deletes with equal content are paired by rank in path order. Each rank is
     one pair, so a blob shared by very many files never yields more rows than it has
-    files. The ranks come from a distributed sort: see ``_rank_in_blob``.
+    files. The ranks come from a distributed sort: see ``_rank_in_blob``. The difference
+    is small beside the trees it came from and is read three times, so it is written once.
     """
+    diff = staged(diff, "diff")
     added = _rank_in_blob(diff.where("status = 'A'"), "new_blob")
     deleted = _rank_in_blob(diff.where("status = 'D'"), "old_blob")
     pairs = added.join(deleted.withColumnRenamed("path", "old_path"), ["repo_name", "blob", "rank"])

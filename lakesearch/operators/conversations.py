@@ -7,18 +7,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakesearch.functions.text import strip
 
 KEEP = 50
+SEGMENT_TURNS = 10_000
 TITLE, SAVED_TITLE = 30, 50
 WARN_LENGTH, ERROR_LENGTH, LENGTH_LIMIT = 3000, 3500, 4000
 
 
-def fold_conversation(turns: DataFrame) -> DataFrame:
+def fold_conversation(turns: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     """One row per conversation with its turns in order.
 
-    The messages of a conversation are one value of the result, so they meet in one row
-    by definition; the sort happens inside that row.
+    A conversation longer than ``segment_turns`` continues in further rows (``segment``
+    1, 2, ...), so no row and no task has to hold a conversation of any length.
     """
     message = F.struct("turn", "role", F.col("text").alias("content"))
-    return turns.groupBy("conv_id").agg(F.transform(
+    segment = F.floor(F.col("turn") / segment_turns).alias("segment")
+    return turns.groupBy("conv_id", segment).agg(F.transform(
         F.array_sort(F.collect_list(message)),
         lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
 

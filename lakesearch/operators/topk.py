@@ -27,6 +27,7 @@ BROADCAST_BYTES = 128 << 20
 VECTOR_BLOCK = 8192
 PROBE_BLOCK = 4096
 SCORE_CELLS = 4 << 20
+PENDING_ROWS = 200_000
 
 _UNIT = 10 ** SCORE_DIGITS
 # Below every key, and still so when negated and back.
@@ -87,18 +88,37 @@ def _scope_slices(table: pa.Table) -> dict[str, pa.Table]:
             for i, scope in enumerate(encoded.dictionary.to_pylist())}
 
 
+def _keep_best(found: list[pa.Table]) -> pa.Table:
+    """The ``cut`` best rows of each probe among the rows found so far."""
+    rows = pa.concat_tables(found).sort_by([("probe_no", "ascending"), ("score", "descending"), ("id", "ascending")])
+    probe = rows.column("probe_no").to_numpy()
+    first = np.flatnonzero(np.diff(probe, prepend=-1))
+    rank = np.arange(len(probe)) - np.repeat(first, np.diff(first, append=len(probe)))
+    return rows.filter(pa.array(rank < rows.column("cut").to_numpy()))
+
+
 def _broadcast_blocks(vectors: DataFrame, probes: pa.Table, schema: T.StructType) -> DataFrame:
+    """Scores Arrow batches where they are read; a task gives out k rows per probe at most."""
+    probes = probes.append_column("probe_no", pa.array(np.arange(probes.num_rows)))
     shared = vectors.sparkSession.sparkContext.broadcast(probes)
     names = schema.fieldNames()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_scope = _scope_slices(shared.value)
+        found: list[pa.Table] = []
+        waiting, kept = 0, 0
         for batch in batches:
-            if batch.num_rows:
-                for scope, rows in _scope_slices(pa.Table.from_batches([batch])).items():
-                    if scope in by_scope:
-                        for out in _score(rows, by_scope[scope], names):
-                            yield from out.to_batches()
+            if not batch.num_rows:
+                continue
+            for scope, rows in _scope_slices(pa.Table.from_batches([batch])).items():
+                for out in _score(rows, by_scope[scope], [*names, "probe_no"]) if scope in by_scope else ():
+                    found.append(out)
+                    waiting += out.num_rows
+            if waiting > max(PENDING_ROWS, kept):
+                found = [_keep_best(found)]
+                waiting, kept = 0, found[0].num_rows
+        if found:
+            yield from _keep_best(found).select(names).to_batches()
 
     return vectors.mapInArrow(score, schema)
 

@@ -33,11 +33,11 @@ def prepare_sync(changes: DataFrame, files: DataFrame, embed: Callable[[DataFram
                  max_tokens: int | None = None, safe: bool = False) -> Sync:
     """Only files named by a change are read past the join and chunked.
 
-    Records are written once: they feed the table, the report and the failures, and the
-    model behind ``embed`` must not run again. ``safe`` deletes old chunks only of files
+    Plan and records are written once: they feed the table, the report and the failures,
+    and the model behind ``embed`` must not run again. ``safe`` deletes old chunks only of files
     that could be processed or are gone.
     """
-    plan = build_sync_plan(collapse_changes(changes), files)
+    plan = staged(build_sync_plan(collapse_changes(changes), files), "plan")
     todo = plan.where("do_process").select("repo_name", F.col("path").alias("file_path"), "status")
     limits = {} if max_tokens is None else {"max_tokens": max_tokens}
     chunks = chunk_files(files.join(todo, ["repo_name", "file_path"]))

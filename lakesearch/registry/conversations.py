@@ -13,7 +13,7 @@ def _messages(spark, sf):
 def fold_conversation(spark, sf):
     folded = H.fold_conversation(_messages(spark, sf))
     lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
-    return folded.select("conv_id", F.size("messages").alias("n"), F.array_join(lines, "\n").alias("messages"))
+    return folded.select("conv_id", "segment", F.size("messages").alias("n"), F.array_join(lines, "\n").alias("messages"))
 
 
 def conversation_title(spark, sf):
@@ -74,7 +74,7 @@ saved as (select conv_id % 7 as user_id, conv_id, conv_id as pos,
 _FENCE = r"'(?s)```(\w+)?\n(.*?)```'"
 
 ORACLES = {
-    "fold_conversation": _M + "select conv_id, count(*)::int as n, string_agg(role || ': ' || text, chr(10) order by turn) as messages from messages group by all",
+    "fold_conversation": _M + "select conv_id, turn // 10000 as segment, count(*)::int as n, string_agg(role || ': ' || text, chr(10) order by turn) as messages from messages group by all",
     "conversation_title": _M + r"""select conv_id, left(trim(arg_min(text, turn) filter (role = 'user'), ' ' || chr(9) || chr(10) || chr(13)), 30) as title,
   left(arg_min(text, turn), 50) || case when length(arg_min(text, turn)) > 50 then '...' else '' end as saved_title
 from messages group by conv_id""",

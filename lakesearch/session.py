@@ -26,6 +26,9 @@ def build_session(app_name: str = "lakesearch", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Recording the Python call site of every expression doubles the time to build the
+        # larger plans, which a stream pays in each micro-batch.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -42,6 +42,7 @@ def test_equals_brute_force(spark, monkeypatch, broadcast):
         monkeypatch.setattr(topk, "VECTOR_BLOCK", 16)
         monkeypatch.setattr(topk, "PROBE_BLOCK", 5)
     monkeypatch.setattr(topk, "SCORE_CELLS", 500)
+    monkeypatch.setattr(topk, "PENDING_ROWS", 10)
     vectors, probes = _data()
     rows = spark.createDataFrame(vectors, "scope string, id string, bits int, embedding array<float>").repartition(5)
     asked = spark.createDataFrame(probes, "scope string, number bigint, need int, k int, qvec array<float>")
