@@ -1,9 +1,8 @@
 """Column helpers for text, built from Spark's own functions."""
 
-from __future__ import annotations
-
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 BLANKS = " \t\n\r\f\x0b"
@@ -35,6 +34,17 @@ def count_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\S+"))
 
 
+def token_counter(load_tokenizer: Callable[[], Callable[[str], list]]) -> Callable[[Column], Column]:
+    """A ``count_tokens`` for a plugged-in tokenizer, loaded once per task and fed by Arrow."""
+    @F.pandas_udf("int")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = load_tokenizer()
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else len(encode(t)))
+
+    return count
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakesearch.functions import chunkers as K
@@ -27,8 +29,9 @@ def explode_chunks(files: DataFrame, chunks: str = "chunks") -> DataFrame:
             .where(~is_blank(F.col("content"))))
 
 
-def chunk_files(files: DataFrame) -> DataFrame:
+def chunk_files(files: DataFrame, tokens: Callable[[Column], Column] = count_tokens) -> DataFrame:
     """All chunk rows of the files, with type, language, route, line span and token count.
+    ``tokens`` may be a ``token_counter`` of an external tokenizer.
 
     Spans are found per file before the chunks are exploded, so no chunk row carries its
     file's text. One projection and one generator: no shuffle, no second scan.
@@ -43,7 +46,7 @@ def chunk_files(files: DataFrame) -> DataFrame:
     return (typed.select(*kept, "file_type", "language", "route", F.posexplode(located).alias("chunk_index", "c"))
             .select(*kept, "file_type", "language", "route", "chunk_index", F.col("c.content").alias("content"),
                     F.col("c.span.first").alias("line_start"), F.col("c.span.last").alias("line_end"),
-                    count_tokens(F.col("c.content")).alias("token_count"), F.lit(True).alias("should_embed"))
+                    tokens(F.col("c.content")).alias("token_count"), F.lit(True).alias("should_embed"))
             .where(~is_blank(F.col("content"))))
 
 

@@ -8,11 +8,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakesearch.operators import retrieval as R
 from lakesearch.operators.analysis import analyze_query
+from lakesearch.operators.embedding import Model, embed_texts
 from lakesearch.session import staged
 
 Embed = Callable[[DataFrame], DataFrame]
 
 
+def text_embedder(load_model: Callable[[], Model], text: str) -> Embed:
+    """An ``Embed`` that asks the model once per distinct text: most probe texts recur in
+    every namespace. Texts the model gives no vector for drop out of the search."""
+    def embed(rows: DataFrame) -> DataFrame:
+        answers = embed_texts(rows.select(text).distinct(), load_model, text)
+        vectors = staged(answers.where("embed_error is null").select(text, F.col("embedding").alias("qvec")), "qvecs")
+        return rows.join(vectors, text)
+
+    return embed
+
+
 def plan_probes(requests: DataFrame, vectors: DataFrame, profiles: DataFrame, mapping: DataFrame,
                 embed: Embed, defaults: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(probes, targets): embedded probes, and the (query, namespace) rows behind them.
