@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lakesearch.functions.text import contains_any, lines_of, lookup, strip, suffix
+from lakesearch.functions.text import contains_any, lookup, strip, suffix
 
 # Extension → language of the code splitter.
 CODE_LANGUAGES = {

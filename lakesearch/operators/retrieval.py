@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakesearch.functions.filters import compile_filter
-from lakesearch.functions.text import escape_regex, is_blank, sorted_set, strip
+from lakesearch.functions.text import escape_regex, sorted_set, strip
 from lakesearch.operators.analysis import CONTEXTUAL, DIRECT, FILES, SEMANTIC
 from lakesearch.operators.topk import top_k
 from lakesearch.session import staged

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakesearch.functions import chunkers as K
-from lakesearch.functions.file_types import chunk_route, code_language
+from lakesearch.functions.file_types import code_language
 from lakesearch.functions.text import count_tokens as token_count, lines_of
 from lakesearch.operators import chunking as C
 from lakesearch.registry.fixtures import cte, fixture, table
@@ -74,9 +74,8 @@ def classify_chunk_type(spark, sf):
 
 def line_range(spark, sf):
     """Line range of each code window in its file."""
-    spans = F.transform(K.code_chunks(F.col("content")), lambda c: c)
     rows = files(spark, sf).select("doc_id", K.search_lines(F.col("content")).alias("lines"),
-                                   F.posexplode(spans).alias("chunk_index", "chunk"))
+                                   F.posexplode(K.code_chunks(F.col("content"))).alias("chunk_index", "chunk"))
     found = rows.select("doc_id", "chunk_index", K.line_span(F.col("chunk"), F.col("lines")).alias("s"))
     return found.select("doc_id", "chunk_index", C.line_range(F.col("s.first"), F.col("s.last")).alias("line_range"))
 

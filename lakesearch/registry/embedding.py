@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from lakesearch.functions.file_types import chunk_route, code_language, file_type
+from lakesearch.functions.file_types import code_language, file_type
 from lakesearch.functions.text import count_tokens, lines_of
 from lakesearch.operators import embedding as E
 from lakesearch.operators.chunking import explode_chunks

@@ -330,7 +330,7 @@ matches as (
   from scored qualify rank <= k)
 """
 
-# A query may name one namespace twice; the searches key probes by namespace.
+# A query may name one namespace twice: its probes are told apart by position.
 _DEDUPE = """, seen as (
   select *, row_number() over (partition by query_id, file_path, line_start
     order by namespace_ord, strategy_ord, term_pos, rank) as n from matches qualify n = 1),

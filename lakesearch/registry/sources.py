@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from lakesearch.functions.text import lines_of
-from lakesearch.operators.vectors import verify_checksum
 from lakesearch.registry import vectors as V
 from lakesearch.registry.fixtures import cte, fixture, table
 from lakesearch.session import work_path
