@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,11 @@ def build_session(app_name: str = "lakesearch", master: str | None = None,
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="lakesearch-")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared scratch folder named by ``spark.checkpoint.dir``.
 
@@ -45,8 +51,7 @@ def work_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="lakesearch-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/lakesearch/{name}-{uuid.uuid4().hex}"
 
 
