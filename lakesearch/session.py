@@ -49,7 +49,8 @@ def work_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/lakesearch/{name}-{uuid.uuid4().hex}"
