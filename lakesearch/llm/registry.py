@@ -1,11 +1,15 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import mixing
+from lakesearch.llm import fixity, mixing, topk_search
 
 QUERIES = {
+    "op1_fixity": fixity.op1_fixity,
+    "op6_topk": topk_search.op6_topk,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES = {
+    "op1_fixity": fixity.SQL,
+    "op6_topk": topk_search.SQL,
     "op10_mixing": mixing.SQL,
 }
