@@ -1,15 +1,18 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import fixity, mixing, topk_search
+from lakesearch.llm import fixity, mixing, quality, tool_calls, topk_search
 
 QUERIES = {
     "op1_fixity": fixity.op1_fixity,
+    "op5_tool_calls": tool_calls.op5_tool_calls,
     "op6_topk": topk_search.op6_topk,
+    "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES = {
     "op1_fixity": fixity.SQL,
+    "op5_tool_calls": tool_calls.SQL,
     "op6_topk": topk_search.SQL,
     "op10_mixing": mixing.SQL,
 }
