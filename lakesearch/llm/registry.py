@@ -1,9 +1,10 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import fixity, mixing, quality, tool_calls, topk_search
+from lakesearch.llm import bpe, fixity, mixing, quality, tool_calls, topk_search
 
 QUERIES = {
     "op1_fixity": fixity.op1_fixity,
+    "op4_bpe": bpe.op4_bpe,
     "op5_tool_calls": tool_calls.op5_tool_calls,
     "op6_topk": topk_search.op6_topk,
     "op9_quality": quality.op9_quality,
