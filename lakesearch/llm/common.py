@@ -35,10 +35,11 @@ def chunked(docs: DataFrame, n_bytes: int, chunk_bytes: int) -> tuple[DataFrame,
     """Add ``chunk``, a hash of the id: groups of about ``chunk_bytes`` of text each.
 
     A chunk is the unit that Python sees at once, so its size does not depend on the size
-    of the input; the number of chunks does.
+    of the input; the number of chunks does. Rows without an id are spread by their text.
     """
     n = max(1, -(-n_bytes // chunk_bytes))
-    return docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")), n
+    spread = F.xxhash64(F.coalesce(F.col("doc_id"), F.xxhash64("text")))
+    return docs.withColumn("chunk", F.pmod(spread, F.lit(n)).cast("int")), n
 
 
 def running_sum(rows: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:

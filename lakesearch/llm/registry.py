@@ -1,9 +1,10 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import bpe, fixity, mixing, quality, tool_calls, topk_search
+from lakesearch.llm import bpe, fixity, mixing, quality, tool_calls, topk_search, window_dedup
 
 QUERIES = {
     "op1_fixity": fixity.op1_fixity,
+    "op2_windows": window_dedup.op2_windows,
     "op4_bpe": bpe.op4_bpe,
     "op5_tool_calls": tool_calls.op5_tool_calls,
     "op6_topk": topk_search.op6_topk,
@@ -13,6 +14,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_fixity": fixity.SQL,
+    "op2_windows": window_dedup.SQL,
     "op5_tool_calls": tool_calls.SQL,
     "op6_topk": topk_search.SQL,
     "op10_mixing": mixing.SQL,
