@@ -1,10 +1,11 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import bpe, fixity, mixing, quality, tool_calls, topk_search, window_dedup
+from lakesearch.llm import bpe, fixity, mixing, near_dedup, quality, tool_calls, topk_search, window_dedup
 
 QUERIES = {
     "op1_fixity": fixity.op1_fixity,
     "op2_windows": window_dedup.op2_windows,
+    "op3_setsketch": near_dedup.op3_setsketch,
     "op4_bpe": bpe.op4_bpe,
     "op5_tool_calls": tool_calls.op5_tool_calls,
     "op6_topk": topk_search.op6_topk,
@@ -15,6 +16,7 @@ QUERIES = {
 ORACLES = {
     "op1_fixity": fixity.SQL,
     "op2_windows": window_dedup.SQL,
+    "op3_setsketch": near_dedup.SQL,
     "op5_tool_calls": tool_calls.SQL,
     "op6_topk": topk_search.SQL,
     "op10_mixing": mixing.SQL,
