@@ -1,6 +1,6 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import bpe, fixity, mixing, near_dedup, quality, suffix_dedup, tool_calls, topk_search, window_dedup
+from lakesearch.llm import bpe, fixity, mixing, near_dedup, quality, suffix_dedup, tool_calls, topk_search, toxicity, window_dedup
 
 QUERIES = {
     "op1_fixity": fixity.op1_fixity,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_bpe": bpe.op4_bpe,
     "op5_tool_calls": tool_calls.op5_tool_calls,
     "op6_topk": topk_search.op6_topk,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_suffixes": suffix_dedup.op8_suffixes,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
