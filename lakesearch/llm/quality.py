@@ -9,7 +9,8 @@ order of sums. Documents below a fixed threshold are rejected, like those that f
 base rules.
 
 The number of buckets is a parameter, so what the driver gets and sends back is bounded;
-counts cover every document.
+raw counts cover every document. The target is learnt from ``TRUSTED_ROWS`` labelled documents
+at most, picked by a hash of their id, whose ids are broadcast: no text is shuffled.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null id is
 never trusted; equal rows count each; without trusted documents every ratio is 0 and only
@@ -29,6 +30,7 @@ from lakesearch.llm.words import WordHashes, mixed, split_words, texts_of, windo
 
 BUCKET_BITS = 16
 SMOOTHING = 1.0
+TRUSTED_ROWS = 1 << 17
 THRESHOLD = -0.5
 UNIT = 1_000_000
 MIN_WORDS = 50
@@ -52,25 +54,33 @@ def pair_buckets(words: np.ndarray, bits: int) -> np.ndarray:
     return (mixed(words[1:] - words[:-1]) >> _U(64 - bits)).astype(np.int64)
 
 
-def ngram_counts(docs: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
-    """(bucket, n) over all texts; buckets of pairs follow those of trigrams."""
+def ngram_counts(docs: DataFrame, trusted: np.ndarray, bits: int = BUCKET_BITS) -> DataFrame:
+    """(bucket, raw, target): n-grams of all texts, and of those whose id is in ``trusted``;
+    buckets of pairs follow those of trigrams."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(trusted))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, hashes = np.zeros(2 << bits, np.int64), WordHashes()
+        counts, hashes = np.zeros((2, 2 << bits), np.int64), WordHashes()
         for batch in batches:
-            for text in texts_of(batch):
-                np.add.at(counts, trigram_buckets(text, bits), 1)
-                np.add.at(counts, pair_buckets(hashes.of(split_words(text)), bits) + (1 << bits), 1)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["bucket", "n"])
+            good = np.isin(batch.column("doc_id").fill_null(0).to_numpy(), shared.value) & batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            for side in (0, 1):
+                texts = [t for t, g in zip(texts_of(batch), good) if g == side]
+                for text in texts:
+                    np.add.at(counts[side], trigram_buckets(text, bits), 1)
+                    np.add.at(counts[side], pair_buckets(hashes.of(split_words(text)), bits) + (1 << bits), 1)
+        used = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[:, used].sum(axis=0)), pa.array(counts[1, used])],
+                                         names=["bucket", "raw", "target"])
 
-    return docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, raw long, target long").groupBy("bucket").agg(
+        F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def _dense(counts: DataFrame, bits: int) -> np.ndarray:
-    out = np.zeros(2 << bits, np.int64)
-    got = counts.toArrow()
-    out[got["bucket"].to_numpy()] = got["n"].to_numpy()
-    return out
+def _bounded(trusted: DataFrame, bound: int) -> np.ndarray:
+    """All trusted ids, or a hashed share of them of about ``bound``."""
+    ids = trusted.where("doc_id is not null").select("doc_id").distinct()
+    share = min(1.0, bound / max(1, ids.count()))
+    return ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).toArrow()["doc_id"].to_numpy()
 
 
 def ratio_weights(target: np.ndarray, raw: np.ndarray, bits: int, smoothing: float = SMOOTHING) -> np.ndarray:
@@ -133,15 +143,17 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BUCKET_BITS, carry:
 
 
 def quality(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS, threshold: float = THRESHOLD,
-            carry: tuple[str, ...] = ()) -> DataFrame:
+            trusted_rows: int = TRUSTED_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Base counts, ``ratio``, ``base_failed`` and ``kept`` of every document.
 
-    ``trusted`` has the ids of the target's documents in ``doc_id``; ``carry`` names columns
+    ``trusted`` has the ids of the target's documents in ``doc_id``, of which ``trusted_rows`` are used at most; ``carry`` names columns
     of ``docs`` to pass on (``text`` may be one of them, under another name).
     """
     plain = document_columns(docs)
-    target = plain.join(trusted.select("doc_id").where("doc_id is not null"), "doc_id", "left_semi")
-    weights = ratio_weights(_dense(ngram_counts(target, bits), bits), _dense(ngram_counts(plain, bits), bits), bits)
+    got = ngram_counts(plain, _bounded(trusted, trusted_rows), bits).toArrow()
+    raw, target = np.zeros(2 << bits, np.int64), np.zeros(2 << bits, np.int64)
+    raw[got["bucket"].to_numpy()], target[got["bucket"].to_numpy()] = got["raw"].to_numpy(), got["target"].to_numpy()
+    weights = ratio_weights(target, raw, bits)
     rows = plain if not carry else docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (score(rows, weights, bits, carry).withColumn("base_failed", failed)
