@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakesearch.llm.common import chunked, document_columns, table
+from lakesearch.llm.common import chunked, table
 from lakesearch.llm.sketch import ANSWERS, CELLS, answers, estimated_repeated, sketch_bits, sketch_rows
 from lakesearch.llm.words import mixed, window_hashes
 from lakesearch.session import staged
@@ -70,9 +70,10 @@ class _Chunk:
         for kind, doc, digest in zip(*(told[c].to_pylist() for c in ("kind", "doc", "digest"))):
             if kind == 2:
                 copies.setdefault(doc, set()).add(digest)
-        rows = sorted(((LAST if d is None else d, (t or "").encode()) for d, t in zip(docs["doc_id"].to_pylist(), docs["text"].to_pylist())))
-        self.width, self.texts, self.ids = width, [t for _, t in rows], np.array([d for d, _ in rows], np.int64)
-        self.copy = [d in copies and hashlib.md5(t).hexdigest() in copies[d] for d, t in rows]
+        rows = sorted((LAST if d is None else d, (t or "").encode(), i) for i, (d, t) in enumerate(zip(docs["doc_id"].to_pylist(), docs["text"].to_pylist())))
+        self.width, self.texts, self.ids = width, [t for _, t, _ in rows], np.array([d for d, _, _ in rows], np.int64)
+        self.row = [i for *_, i in rows]
+        self.copy = [d in copies and hashlib.md5(t).hexdigest() in copies[d] for d, t, _ in rows]
         at, size, starts, ends, values, owners = 0, 0, [], [], [], []
         for i in range(len(rows) + 1):  # documents are hashed together, a slab at a time
             if i == len(rows) or size + len(self.texts[i]) > SLAB and size:
@@ -280,10 +281,13 @@ def sort_part(sent: pa.Table, width: int = WIDTH) -> pa.Table:
                      "bits": pa.array([np.packbits(repeats[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
 
 
-def suffix_dedup(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, starts, ends, kept): the spans removed, as byte offsets,
-    and the bytes that stay."""
-    plain = document_columns(docs)
+def suffix_dedup(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK_BYTES, carry: tuple[str, ...] = (),
+                 as_text: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, starts, ends, kept) and the ``carry`` columns: the spans
+    removed, as byte offsets, and the bytes that stay; with ``as_text`` as a string, without the characters
+    that a span cut in two."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    extra = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[2:])
     texts = staged(plain.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))).alias("spread"),
                                 F.octet_length("text").cast("long").alias("n"), F.md5("text").alias("digest")), "digests")
     n_bytes = texts.agg(F.sum("n")).first()[0] or 0
@@ -318,13 +322,20 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK_B
         answered = {b: x for k, b, x in zip(*(told[c].to_pylist() for c in ("kind", "block", "bits"))) if k == 1}
         sizes = (held.end - held.start)[kept]
         flags = [np.unpackbits(np.frombuffer(answered[p], np.uint8))[:sizes[a:b].sum()] for p, a, b in _cuts(part)]
-        return held.cut(maybe, stands, kept, np.concatenate(flags).astype(bool) if flags else np.zeros(0, bool))
+        out = held.cut(maybe, stands, kept, np.concatenate(flags).astype(bool) if flags else np.zeros(0, bool))
+        if as_text:
+            texts_ = pa.array([t.decode("utf-8", "ignore") for t in out["kept"].to_pylist()], pa.string())
+            out = out.set_column(out.column_names.index("kept"), "kept", texts_)
+        for name in carry:
+            out = out.append_column(name, found[name].take(pa.array(held.row, pa.int64())))
+        return out
 
-    sketched = grouped.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(sketch, CELLS)
+    narrow = grouped.select("doc_id", "text", "chunk") if carry else grouped
+    sketched = narrow.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(sketch, CELLS)
     told = copies.unionByName(as_told(answers(sketched), 0))
-    sent = grouped.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(runs, RUNS)
+    sent = narrow.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(runs, RUNS)
     told = told.unionByName(as_told(sent.groupBy("part").applyInArrow(_part_sorter(width), ANSWERS), 1))
-    return grouped.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, KEPT)
+    return grouped.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, (KEPT.replace("kept binary", "kept string") if as_text else KEPT) + extra)
 
 
 def _part_sorter(width: int):
