@@ -37,7 +37,7 @@ LEXICON = 512
 CANDIDATES = 1 << 14
 MIN_SHARE = 0.004
 MIN_ODDS = 2.5
-STEM_LENGTHS = (4, 5, 6)
+STEM_LENGTHS = (4, 5, 6, 7, 8)
 STEM_WORDS = 5
 FUZZY_LENGTH = 5
 WINDOW = 6
@@ -202,14 +202,14 @@ def learn_lexicon(texts: DataFrame, size: int = LEXICON) -> Lexicon:
     toxic = {r["term"]: r["n"] for r in _term_counts(texts.where("toxic = 1"), None).where(F.col("n") >= support).orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
     clean = {r["term"]: r["n"] for r in _term_counts(texts.where("toxic = 0"), frozenset(toxic)).collect()}
     odds = {t: np.log((n + 0.5) / (n_toxic + 1)) - np.log((clean.get(t, 0) + 0.5) / (n_clean + 1)) for t, n in toxic.items()}
-    picked = sorted((t for t in toxic if odds[t] >= MIN_ODDS), key=lambda t: (-toxic[t], len(t), t))
+    picked = sorted((t for t in toxic if odds[t] >= MIN_ODDS), key=lambda t: (-toxic[t] * odds[t], len(t), t))
     begins = Counter(t[:n] + "*" for t in picked if not t.endswith("*") for n in STEM_LENGTHS if len(t) > n)
     stems: list[str] = []
     words: list[str] = []
     for term in picked:
         if len(stems) + len(words) >= size:
             break
-        if any(term.startswith(s) for s in stems):
+        if any(term.startswith(s) or term.endswith("*") and s.startswith(term[:-1]) for s in stems):
             continue
         if not term.endswith("*"):
             words.append(term)
