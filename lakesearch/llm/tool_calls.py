@@ -1,12 +1,11 @@
 """Chat formatting of tool calls, in DataFrame operations only.
 
 Calls and results are joined by identifier. Calls are ordered topologically by their
-references to other calls: in rounds, each placing the calls all of whose references are
-placed, as many rounds as the longest chain of references. Arguments are checked against
+references to other calls, a call's level being the longest chain of references below it. Arguments are checked against
 the schema of their tool, and each call with its result is serialised as canonical JSON:
 keys sorted at every depth, no blanks.
 
-Only calls with references to known calls take part in the rounds, as narrow rows; the
+Only calls with references to known calls are ordered, as narrow rows; the
 place within a conversation is numbered over ranges, so a conversation with a third of all
 calls is not sorted in one task.
 
@@ -28,27 +27,44 @@ from lakesearch.session import staged
 
 
 def topological_levels(calls: DataFrame) -> DataFrame:
-    """(call_id, level) of the calls with references that can be placed; all others with references wait for a cycle.
+    """(call_id, level) of the calls with references, level null where a cycle is in the way.
 
     ``calls`` has (call_id, depends_on array<string>); calls without known references are level 0 and not listed.
+    Calls with one reference form chains, which are contracted by doubling: after n rounds each
+    knows the call 2 ** n steps on, so a chain of any length takes the logarithm of its length. What remains is placed
+    round by round: each call with several references whose targets all have a level.
     """
     known = calls.where("call_id is not null").select("call_id").distinct()
     edges = staged(calls.where("call_id is not null").select("call_id", F.explode("depends_on").alias("on")).distinct()
                    .join(known.withColumnRenamed("call_id", "on"), "on", "left_semi"), "edges")
-    waiting, placed = edges, []
-    free = staged(edges.select(F.col("on").alias("call_id")).distinct()
-                  .join(edges.select("call_id").distinct(), "call_id", "left_anti"), "placed")
-    while not free.isEmpty():
-        left = staged(waiting.join(free.select(F.col("call_id").alias("on")), "on", "left_anti"), "edges")
-        free = staged(waiting.select("call_id").distinct().join(left.select("call_id").distinct(), "call_id", "left_anti"), "placed")
-        placed.append(free.withColumn("level", F.lit(len(placed) + 1)))
-        waiting = left
-    if not placed:
-        return edges.select("call_id", F.lit(0).alias("level")).limit(0)
-    out = placed[0]
-    for part in placed[1:]:
-        out = out.unionByName(part)
-    return out
+    degree = edges.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("on").alias("on"))
+    chain = staged(degree.where("n = 1").select("call_id", "on", F.lit(1).alias("steps")), "chain")
+    far = lambda: chain.select(F.col("call_id").alias("on"), F.col("on").alias("next"), F.col("steps").alias("more"))
+    for _ in range(chain.count().bit_length()):  # what is not at a chain's end by then runs in a circle
+        if chain.join(far(), "on", "left_semi").isEmpty():
+            break
+        chain = staged(chain.join(far(), "on", "left").select(
+            "call_id", F.coalesce("next", "on").alias("on"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), "chain")
+    chain = staged(chain.join(far(), "on", "left_anti").select("call_id", F.col("on").alias("end"), "steps"), "chain")
+
+    several = degree.where("n > 1").select("call_id", "n")
+    circles = degree.where("n = 1").select(F.col("call_id").alias("on")).join(chain.select(F.col("call_id").alias("on")), "on", "left_anti")
+    waiting = staged(edges.join(several, "call_id").join(chain.withColumnRenamed("call_id", "on"), "on", "left").select(
+        "call_id", "n", "on", F.coalesce("end", "on").alias("end"), F.coalesce("steps", F.lit(0)).alias("steps"))
+        .join(circles, "on", "left_anti"), "waiting")
+    roots = edges.select(F.col("on").alias("end")).distinct().join(edges.select(F.col("call_id").alias("end")).distinct(), "end", "left_anti")
+    placed = staged(roots.select("end", F.lit(0).alias("level")), "placed")
+    while True:
+        ready = (waiting.join(placed, "end").groupBy("call_id", "n").agg(F.count(F.lit(1)).alias("done"), F.max(F.col("level") + F.col("steps")).alias("top"))
+                 .where("done = n").select(F.col("call_id").alias("end"), (F.col("top") + 1).alias("level"))
+                 .join(placed.select("end"), "end", "left_anti"))
+        ready = staged(ready, "placed")
+        if ready.isEmpty():
+            break
+        placed = staged(placed.unionByName(ready), "placed")
+    ends = chain.join(placed, "end").select("call_id", (F.col("level") + F.col("steps")).alias("level"))
+    levels = ends.unionByName(placed.select(F.col("end").alias("call_id"), "level").join(several, "call_id", "left_semi"))
+    return degree.select("call_id").join(levels, "call_id", "left").select("call_id", F.col("level").cast("int").alias("level"))
 
 
 def _kind(value: Column) -> Column:
@@ -82,10 +98,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     answers = results.where("call_id is not null").groupBy("call_id").agg(
         F.count(F.lit(1)).alias("n_results"), F.min_by("content", F.struct("position", "content")).alias("content"))
     specs = schemas.select(F.col("name").alias("tool"), "params").groupBy("tool").agg(F.first("params").alias("params"))
-    known = calls.where("call_id is not null").select("call_id").distinct()
-    bound = (calls.where("call_id is not null").select("call_id", F.explode("depends_on").alias("on")).distinct()
-             .join(known.withColumnRenamed("call_id", "on"), "on", "left_semi").select("call_id").distinct())
-    levels = bound.join(topological_levels(calls), "call_id", "left").select("call_id", "level", F.lit(True).alias("bound"))
+    levels = topological_levels(calls).select("call_id", "level", F.lit(True).alias("bound"))
     linked = (calls.join(answers, "call_id", "left").join(specs, "tool", "left").join(levels, "call_id", "left")
               .withColumn("cyclic", F.col("bound").isNotNull() & F.col("level").isNull())
               .withColumn("level", F.when(F.col("bound").isNull(), 0).otherwise(F.col("level"))))
