@@ -59,7 +59,7 @@ def cycle_weights(sources: DataFrame, cycle: int = WEIGHT_CYCLE) -> DataFrame:
 
 def mix(docs: DataFrame, weigh=cycle_weights, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
         carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) and the ``carry`` columns.
+    """(doc_id, source, size, source_size, target, taken), and a struct ``carried`` of the ``carry`` columns.
 
     ``weigh`` turns (source, size) into (source, size, weight). ``taken`` is the number of
     words the mix takes of a row: ``taken div size`` whole copies, the rest from its start.
@@ -79,21 +79,23 @@ def mix(docs: DataFrame, weigh=cycle_weights, max_epochs: int = MAX_EPOCHS, seed
     return drawn.join(plan, F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("whole") * F.col("size") + rest).cast("long").alias("taken"),
-        *(["carried.*"] if carry else []))
+        *(["carried"] if carry else []))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, in the columns of ``docs``: a row for each whole copy taken, and the
     first words of the documents at which a source's last copy ends."""
     others = [c for c in docs.columns if c not in ("doc_id", "source")]
-    taken = mix(docs, carry=tuple(others), **options)
-    whole = (taken.where("size > 0 and taken >= size")
-             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("taken div size")))))
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), (F.col("taken") % F.col("size")).cast("int"))
-    cut = taken.where("size > 0 and taken % size > 0").withColumn("text", F.array_join(words, " "))
+    taken = mix(docs, carry=tuple(others), **options).where("size > 0 and taken > 0")
+    whole = taken.where("taken >= size").withColumn("copy", F.explode(F.expr("sequence(1L, taken div size)")))
+    words = F.slice(F.regexp_extract_all("carried.text", F.lit(WORD), F.lit(0)), F.lit(1), (F.col("taken") % F.col("size")).cast("int"))
+    cut = taken.where("taken % size > 0").withColumn("start", F.array_join(words, " "))
+    plain = {c: F.col(c) if c not in others else F.col("carried")[c] for c in docs.columns}
+    changed = {"text": F.col("start")}
     if "n_chars" in others:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.select(docs.columns).unionByName(cut.select(docs.columns))
+        changed["n_chars"] = F.length("start").cast(docs.schema["n_chars"].dataType)
+    pick = lambda columns: [x.alias(c) for c, x in columns.items()]
+    return whole.select(pick(plain)).unionByName(cut.select(pick(plain | changed)))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from lakesearch.llm.common import document_columns, table
 from lakesearch.llm.words import WordHashes, mixed, split_words, texts_of, window_hashes
 
 BUCKET_BITS = 16
-SMOOTHING = 1.0
+PRIOR = 1000.0
 TRUSTED_ROWS = 1 << 17
 THRESHOLD = -0.5
 UNIT = 1_000_000
@@ -83,14 +83,19 @@ def _bounded(trusted: DataFrame, bound: int) -> np.ndarray:
     return ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).toArrow()["doc_id"].to_numpy()
 
 
-def ratio_weights(target: np.ndarray, raw: np.ndarray, bits: int, smoothing: float = SMOOTHING) -> np.ndarray:
-    """log(target share / raw share) of each bucket, in millionths; 0 if either side has no n-gram."""
+def ratio_weights(target: np.ndarray, raw: np.ndarray, bits: int, prior: float = PRIOR) -> np.ndarray:
+    """log(target share / raw share) of each bucket, in millionths; 0 if either side has no n-gram.
+
+    The target's counts start from ``prior`` n-grams spread like the raw ones, so that without evidence the ratio is 0.
+    """
     out = np.zeros(2 << bits, np.int64)
     for part in (slice(0, 1 << bits), slice(1 << bits, 2 << bits)):
         t, r = target[part], raw[part]
         if t.sum() and r.sum():
-            share = lambda c: (c + smoothing) / (c.sum() + smoothing * len(c))
-            out[part] = np.rint((np.log(share(t)) - np.log(share(r))) * UNIT).astype(np.int64)
+            share = r / r.sum()
+            used = r > 0
+            ratio = (t[used] + prior * share[used]) / (t.sum() + prior) / share[used]
+            out[part][used] = np.rint(np.log(ratio) * UNIT).astype(np.int64)
     return out
 
 
