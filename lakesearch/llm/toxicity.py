@@ -7,6 +7,9 @@ rows of edit distances, so that a misspelled term is found with one edit without
 misspellings. Before, a word must share the first or second half of a term, which one edit cannot both
 break.
 
+A term near to which clean texts have words is only searched as it is spelled. A misspelled term counts like a
+term at first; what labels say of it corrects that.
+
 A window of words around a hit tells quotation from abuse: quotation marks that enclose
 it, words of report, and direct address. The hits of a document, by kind, and their share of its words are the features of a
 logistic regression.
@@ -36,6 +39,8 @@ TRAIN_ROWS = 1 << 16
 LEXICON = 512
 CANDIDATES = 1 << 14
 MIN_SHARE = 0.004
+MIN_TEXTS = 3
+MAX_NEAR_SHARE = 0.0005
 MIN_ODDS = 2.5
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 STEM_WORDS = 5
@@ -50,7 +55,7 @@ REPORTS = frozenset("said says say quote quoted quotes called wrote according re
 ADDRESS = frozenset("you your you're u tu toi vous te du dich ihr dir usted tú vosotros".split())
 _EDGE = ".,;:!?()[]{}<>*#-_…" + QUOTES
 
-FEATURES = ("hits", "any", "fuzzy", "any_fuzzy", "stems", "any_stem", "quoted", "addressed", "share")
+FEATURES = ("hits", "any", "fuzzy", "any_fuzzy", "stems", "any_stem", "quoted", "addressed", "share", "evidence")
 
 
 def bare(word: str) -> str:
@@ -61,39 +66,41 @@ def bare(word: str) -> str:
 class Lexicon:
     """Terms in a trie, searched with at most one edit."""
 
-    def __init__(self, words: list[str], stems: list[str]):
+    def __init__(self, words: dict[str, float], stems: dict[str, float], strict: frozenset = frozenset()):
+        """Terms with their weights of evidence; those in ``strict`` are not searched with an edit."""
         self.trie: dict = {}
-        for kind, terms in (("word", words), ("stem", stems)):
-            for term in terms:
-                node = self.trie
-                for letter in term:
-                    node = node.setdefault(letter, {})
-                node[kind] = len(term)
-        self.stems = {s: len(s) for s in stems}
-        self.words = set(words)
+        for term in words:
+            node = self.trie
+            for letter in term:
+                node = node.setdefault(letter, {})
+            if len(term) >= FUZZY_LENGTH and term not in strict:
+                node["near"] = term
+        self.stems, self.words = stems, words
         self.lengths = sorted({len(s) for s in stems})
-        fuzzy = [w for w in words if len(w) >= FUZZY_LENGTH]
+        fuzzy = [w for w in words if len(w) >= FUZZY_LENGTH and w not in strict]
         self.heads = {w[:len(w) // 2] for w in fuzzy}
         self.tails = {w[len(w) // 2:] for w in fuzzy}
         self.head_sizes, self.tail_sizes = sorted({len(h) for h in self.heads}), sorted({len(t) for t in self.tails})
 
-    def kind(self, word: str) -> str | None:
-        """'word', 'stem', 'fuzzy' or None."""
+    def hit(self, word: str) -> tuple[str, float] | None:
+        """('word', 'stem' or 'fuzzy', weight) or None."""
         if word in self.words:
-            return "word"
-        if any(word[:n] in self.stems for n in self.lengths):
-            return "stem"
+            return "word", self.words[word]
+        for n in self.lengths:
+            if word[:n] in self.stems:
+                return "stem", self.stems[word[:n]]
         near = any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)
-        return "fuzzy" if near and self.near(word) else None
+        term = self.near(word) if near else None
+        return None if term is None else ("fuzzy", self.words[term])
 
-    def near(self, word: str) -> bool:
-        """Whether a term of ``FUZZY_LENGTH`` letters or more is one edit away: trie and automaton
-        are walked together, and a branch ends where no state accepts any more."""
+    def near(self, word: str) -> str | None:
+        """A term one edit away: trie and automaton are walked together, and a branch ends where
+        no state accepts any more."""
         todo = [(self.trie, list(range(len(word) + 1)))]
         while todo:
             node, row = todo.pop()
-            if node.get("word", 0) >= FUZZY_LENGTH and row[-1] <= 1:
-                return True
+            if "near" in node and row[-1] <= 1:
+                return node["near"]
             for letter, child in node.items():
                 if len(letter) == 1:
                     after = [row[0] + 1]
@@ -101,34 +108,36 @@ class Lexicon:
                         after.append(min(row[i] + (own != letter), row[i + 1] + 1, after[i] + 1))
                     if min(after) <= 1:
                         todo.append((child, after))
-        return False
+        return None
 
 
 class Matcher(dict):
-    """Kind of hit of each word, remembered."""
+    """Hit of each word, remembered."""
 
     def __init__(self, lexicon: Lexicon):
         super().__init__()
         self.lexicon = lexicon
 
-    def __missing__(self, word: str) -> str | None:
+    def __missing__(self, word: str) -> tuple[str, float] | None:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        kind = self[word] = self.lexicon.kind(bare(word))
-        return kind
+        hit = self[word] = self.lexicon.hit(bare(word))
+        return hit
 
     def features(self, text: str) -> list[float]:
         words = text.lower().split()
-        kinds = list(map(self.__getitem__, words))
-        hits = [i for i, k in enumerate(kinds) if k] if any(kinds) else []
-        counts = Counter()
+        found = list(map(self.__getitem__, words))
+        hits = [i for i, x in enumerate(found) if x] if any(found) else []
+        counts, evidence = Counter(), 0.0
         for i in hits:
             quoted, addressed = context(words, i)
-            counts["quoted" if quoted else kinds[i]] += 1
+            counts["quoted" if quoted else found[i][0]] += 1
             counts["addressed"] += addressed
+            evidence += 0.0 if quoted else found[i][1]
         few = lambda n: min(n, 3)
-        return [few(counts["word"]), min(counts["word"], 1), few(counts["fuzzy"]), min(counts["fuzzy"], 1), few(counts["stem"]), min(counts["stem"], 1),
-                few(counts["quoted"]), few(counts["addressed"]), round(min(1.0, 20 * len(hits) / max(1, len(words))), 3)]
+        direct = counts["word"] + counts["fuzzy"]
+        return [few(direct), min(direct, 1), few(counts["fuzzy"]), min(counts["fuzzy"], 1), few(counts["stem"]), min(counts["stem"], 1),
+                few(counts["quoted"]), few(counts["addressed"]), round(min(1.0, 20 * len(hits) / max(1, len(words))), 3), round(min(8.0, evidence), 1)]
 
 
 def context(words: list[str], at: int) -> tuple[bool, bool]:
@@ -193,29 +202,52 @@ def _term_counts(texts: DataFrame, wanted: frozenset | None) -> DataFrame:
 
 
 def learn_lexicon(texts: DataFrame, size: int = LEXICON) -> Lexicon:
-    """Terms over ``MIN_ODDS`` (natural logarithm) likelier in toxic texts and in ``MIN_SHARE`` of them at least."""
+    """Terms over ``MIN_ODDS`` (natural logarithm) likelier in toxic texts, in ``MIN_SHARE`` of them and in
+    ``MIN_TEXTS`` different ones at least."""
+    texts = staged(texts.dropDuplicates(["text", "toxic"]), "different")
     totals = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}  # two rows
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
-        return Lexicon([], [])
-    support = max(3, MIN_SHARE * n_toxic)
+        return Lexicon({}, {})
+    support = max(MIN_TEXTS, MIN_SHARE * n_toxic)
     toxic = {r["term"]: r["n"] for r in _term_counts(texts.where("toxic = 1"), None).where(F.col("n") >= support).orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
     clean = {r["term"]: r["n"] for r in _term_counts(texts.where("toxic = 0"), frozenset(toxic)).collect()}
     odds = {t: np.log((n + 0.5) / (n_toxic + 1)) - np.log((clean.get(t, 0) + 0.5) / (n_clean + 1)) for t, n in toxic.items()}
     picked = sorted((t for t in toxic if odds[t] >= MIN_ODDS), key=lambda t: (-toxic[t] * odds[t], len(t), t))
     begins = Counter(t[:n] + "*" for t in picked if not t.endswith("*") for n in STEM_LENGTHS if len(t) > n)
-    stems: list[str] = []
-    words: list[str] = []
+    weight = {t: float(max(0.0, odds[t] - 2 / np.sqrt(toxic[t]))) for t in picked}
+    stems: dict[str, float] = {}
+    words: dict[str, float] = {}
     for term in picked:
         if len(stems) + len(words) >= size:
             break
         if any(term.startswith(s) or term.endswith("*") and s.startswith(term[:-1]) for s in stems):
             continue
         if not term.endswith("*"):
-            words.append(term)
+            words[term] = weight[term]
         elif begins[term] >= STEM_WORDS:
-            stems.append(term[:-1])
-    return Lexicon([w for w in words if not any(w.startswith(s) for s in stems)], stems)
+            stems[term[:-1]] = weight[term]
+    words = {w: x for w, x in words.items() if not any(w.startswith(s) for s in stems)}
+    wrong = _near_counts(texts.where("toxic = 0"), Lexicon(words, stems))
+    return Lexicon(words, stems, frozenset(t for t, n in wrong.items() if n > MAX_NEAR_SHARE * n_clean + 1))
+
+
+def _near_counts(texts: DataFrame, lexicon: Lexicon) -> dict[str, int]:
+    """How many of the texts have a word one edit from each term, but no such term."""
+    shared = texts.sparkSession.sparkContext.broadcast(lexicon)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts, known = shared.value, Counter(), {}
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                words = set(map(bare, set((text or "").lower().split())))
+                for word in words - known.keys():
+                    hit = held.hit(word)
+                    known[word] = held.near(word) if hit and hit[0] == "fuzzy" else None
+                counts.update({known[w] for w in words} - {None})
+        yield pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], names=["term", "n"])
+
+    return {r["term"]: r["n"] for r in texts.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
 
 
 def _features_of(texts: DataFrame, lexicon: Lexicon) -> np.ndarray:

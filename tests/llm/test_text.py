@@ -114,7 +114,7 @@ def distance(a, b):
 def test_automaton_finds_what_edit_distance_finds():
     rng = random.Random(1)
     terms = ["idiot", "pathetic", "loser", "worthless", "scum"]
-    lexicon = toxicity.Lexicon(terms, ["lowei"])
+    lexicon = toxicity.Lexicon(dict.fromkeys(terms, 3.0), {"lowei": 2.0})
     for _ in range(3000):
         word = list(rng.choice(terms))
         for _ in range(rng.randint(0, 3)):
@@ -122,8 +122,8 @@ def test_automaton_finds_what_edit_distance_finds():
             word[at:at + rng.randint(0, 1)] = rng.choice(["", "x", "e", "t"])
         word = "".join(word)
         want = "word" if word in terms else "fuzzy" if any(len(t) >= 5 and distance(t, word) <= 1 for t in terms) else None
-        assert lexicon.kind(word) == want, word
-    assert lexicon.kind("loweixyz") == "stem"
+        assert (lexicon.hit(word) or (None,))[0] == want, word
+    assert lexicon.hit("loweixyz") == ("stem", 2.0)
 
 
 def test_context_tells_quotation_from_abuse():
@@ -170,10 +170,10 @@ def test_toxicity_without_labels_or_documents(spark):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = [r for r in toxicity.op7_toxicity(spark, sf).collect()]
     assert all(r.held_out == (__import__("zlib").crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
     held = [r for r in rows if r.held_out and r.doc_id in labels]
     hits = Counter((labels[r.doc_id], r.predicted) for r in held)
-    assert hits[1, 1] >= 0.7 * (hits[1, 0] + hits[1, 1]) and hits[0, 1] <= 0.05 * (hits[0, 0] + hits[0, 1])
+    assert hits[1, 1] > 0.8 * (hits[1, 0] + hits[1, 1]) and hits[0, 1] < 0.03 * (hits[0, 0] + hits[0, 1])
