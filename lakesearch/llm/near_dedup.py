@@ -7,8 +7,8 @@ union are the extremes of the registers, and equal registers are about as likely
 A document needs no further interval once all its registers are filled from the ones before, which for usual lengths are two or three.
 
 Candidates share all registers of a band. Sets that are equal are one class, so exact
-copies cost nothing. Classes whose shingles are by over 15 % their own among the candidates cannot
-be linked and leave. Links are then found in two steps, both confirmed on full sets:
+copies cost nothing. Shingles that a class has alone among the candidates bound its similarity to
+any other; classes that cannot be linked to a set of their bucket's sizes leave it. Links are then found in two steps, both confirmed on full sets:
 
 1. In each band's bucket, all members against the one with the fewest shingles of its own.
 2. Where a bucket still holds several components, their members against each other: pairs
@@ -49,7 +49,7 @@ BASE = 1.001
 RATE = 20.0
 MARGIN = 5.0
 SMALL_BUCKET = 48
-BLOCK = 96
+BLOCK = 192
 STAR_ROWS = 256
 
 _U = np.uint64
@@ -296,9 +296,8 @@ def _class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int)
     ids = members.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
     texts = staged(_texts(docs, ids, width), "texts")
     sizes = classes.select("cls", "n_shingles")
-    able = (members.join(sizes, "cls").join(_own_shingles(texts, width), "cls", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-            .where(100 * (F.col("n_shingles") - F.col("own")) >= percent * F.col("n_shingles")))
-    members = staged(able.select("bucket", "cls", "n_shingles", "own"), "members")
+    counted = members.join(sizes, "cls").join(_own_shingles(texts, width), "cls", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    members = staged(_able(counted, percent).select("bucket", "cls", "n_shingles", "own"), "members")
 
     centre = F.min_by(F.struct("cls", "n_shingles", "own"), F.struct(F.col("own") / F.col("n_shingles"), "cls"))
     centres = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), centre.alias("c")).where("n > 1").select(
@@ -310,8 +309,10 @@ def _class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int)
     labels = components(found)
     placed = staged(members.join(labels, F.col("cls") == F.col("node"), "left").select(
         "bucket", "cls", "n_shingles", "own", F.coalesce("label", "cls").alias("comp")), "placed")
-    mixed_ = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    rest = staged(placed.join(mixed_.select("bucket", "n"), "bucket"), "rest")
+    mixed_ = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    open_ = staged(_able(placed.join(mixed_.select("bucket"), "bucket"), percent), "open")
+    sizes = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    rest = staged(open_.join(sizes.select("bucket", "n"), "bucket"), "rest")
     small, large = rest.where(F.col("n") <= SMALL_BUCKET), rest.where(F.col("n") > SMALL_BUCKET)
     side = lambda x: small.select("bucket", F.col("cls").alias(x), F.col("comp").alias("c" + x), F.col("n_shingles").alias("n" + x), F.col("own").alias("o" + x))
     pairs = (side("a").join(side("b"), "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(percent))
@@ -320,6 +321,14 @@ def _class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int)
     return found.unionByName(more).unionByName(_links(_squares(large), texts, width, percent))
 
 
+def _able(members: DataFrame, percent: int) -> DataFrame:
+    """The members that their bucket's smallest set, or one of the least size that can be similar, leaves a chance."""
+    low = members.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
+    partner = F.greatest(100 * F.col("least"), percent * F.col("n_shingles"))
+    enough = 100 * (100 + percent) * (F.col("n_shingles") - F.col("own")) >= percent * (100 * F.col("n_shingles") + partner)
+    return members.join(low, "bucket").where(enough).drop("least")
+
+
 def _possible(percent: int):
     """Whether sets of sizes na, nb with oa, ob shingles of their own can be similar enough."""
     both = F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
