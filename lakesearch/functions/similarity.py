@@ -6,7 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from lakesearch.functions.text import let
 
-SCORE_DIGITS = 6
+# Ranking looks at twelve digits, below which only the order of sums tells scores apart;
+# results show six.
+SCORE_DIGITS, SHOWN_DIGITS = 12, 6
 
 
 def dot(left: Column, right: Column) -> Column:
@@ -26,5 +28,5 @@ def cosine(left: Column, right: Column) -> Column:
 
 
 def cosine_score(left: Column, right: Column) -> Column:
-    """Cosine rounded to the precision of stored vectors, so that equal scores tie."""
+    """Cosine as it is ranked by: equal vectors tie."""
     return F.round(cosine(left, right), SCORE_DIGITS)

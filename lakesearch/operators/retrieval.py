@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakesearch.functions.filters import compile_filter
+from lakesearch.functions.numbering import numbered
 from lakesearch.functions.text import escape_regex, sorted_set, strip
 from lakesearch.operators.analysis import CONTEXTUAL, DIRECT, FILES, SEMANTIC
 from lakesearch.operators.topk import top_k
+from lakesearch.operators.vectors import list_namespaces
 from lakesearch.session import staged
 
 CARRIED = ["id", "file_path", "line_start"]
@@ -48,22 +50,42 @@ def resolve_namespaces(requests: DataFrame, vectors: DataFrame, mapping: DataFra
                        defaults: list[str] = ()) -> DataFrame:
     """One row per (request, namespace to search), with ``namespace_ord``.
 
-    Requested repositories are mapped; none requested means all present, and none
-    present the ``defaults``. The present names form one short list per call.
+    Repositories come from ``repositories`` or, if that is empty, from a single ``repo``. Requested ones are mapped;
+    none requested means all present; none present, or only blank names requested, the ``defaults``.
     """
-    present = vectors.select("namespace").distinct().agg(
-        F.array_sort(F.collect_list("namespace"))).scalar()
-    asked = F.filter(F.coalesce("repositories", F.array().cast("array<string>")),
-                     lambda r: r.isNotNull() & (r != ""))
-    everything = F.when(F.size(present) > 0, present).otherwise(
-        F.array(*[F.lit(d) for d in defaults]).cast("array<string>"))
-    rows = (requests.withColumn("asked", asked)
-            .select("*", F.posexplode(F.when(F.size("asked") > 0, F.col("asked")).otherwise(everything))
-                    .alias("namespace_ord", "repo"))
-            .drop("repositories"))
+    listed = F.coalesce("repositories", F.array().cast("array<string>"))
+    if "repo" in requests.columns:
+        single = F.array_compact(F.array(F.nullif(strip(F.col("repo")), F.lit(""))))
+        listed = F.when(F.size(listed) > 0, listed).otherwise(single)
+    named_ = F.filter(listed, lambda r: r.isNotNull() & (strip(r) != ""))
+    asked = requests.withColumns({"listed": F.size(listed), "asked": named_}).drop("repositories", "repo")
+    standard = F.array(*[F.lit(d) for d in defaults]).cast("array<string>")
+    present = numbered(list_namespaces(vectors).withColumn("all", F.lit(0)), ["all"], ["namespace"], "namespace_ord").select(
+        F.col("namespace").alias("repo"), F.col("namespace_ord").cast("int").alias("namespace_ord"))
+    nothing = present.isEmpty()
+    chosen = F.when(F.size("asked") > 0, F.col("asked")).when((F.col("listed") > 0) | F.lit(nothing), standard)
+    given = asked.where(chosen.isNotNull()).select("*", F.posexplode(chosen).alias("namespace_ord", "repo"))
+    everywhere = asked.where(chosen.isNull())
+    rows = given.unionByName(_times(everywhere, present))
     named = map_repo_namespace(rows, mapping, "repo")
     return named.withColumn("namespace", F.when(F.size("asked") > 0, F.col("namespace")).otherwise(F.col("repo"))) \
-        .drop("asked", "repo")
+        .drop("asked", "listed", "repo")
+
+
+TIMES_PARTS = 16
+
+
+def _times(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Each of ``rows`` with each of ``others``, which is the result asked for, as a hash join on parts:
+    ``rows`` fall into parts, and ``others`` are repeated once per part."""
+    part = F.pmod(F.xxhash64("query_id"), F.lit(TIMES_PARTS)).cast("int").alias("part")
+    return rows.select("*", part).join(
+        others.select("*", F.explode(F.sequence(F.lit(0), F.lit(TIMES_PARTS - 1))).alias("part")), "part").drop("part")
+
+
+def in_every_namespace(requests: DataFrame, vectors: DataFrame) -> DataFrame:
+    """One row per (request, namespace)."""
+    return _times(requests, list_namespaces(vectors))
 
 
 def search_scoped(vectors: DataFrame, probes: DataFrame, key: list[str],
@@ -191,6 +213,8 @@ PROBE_COLUMNS = ["query_id", "query_type", "namespace", "namespace_ord", "strate
                  "confidence", "term_pos"]
 PATH_KEY = 8
 WORD = r"[\p{L}\p{N}_]+"
+NO_WORD = r"[^\p{L}\p{N}_]"
+HIT = ["namespace", "strategy", "term", "id"]
 
 
 def with_bits(vectors: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -215,7 +239,8 @@ def match_terms(vectors: DataFrame, terms: DataFrame) -> DataFrame:
 
     * path: the first ``PATH_KEY`` characters of the term against all substrings of that
       length (and of the lengths below, for shorter terms) of each distinct path;
-    * content: the first word of the term against the distinct words of the content.
+    * content: the first word of the term against the distinct words of the content, or the
+      first character of a term without words.
     """
     terms = (terms.where("term <> ''").select("namespace", "strategy", "term").distinct()
              .withColumn("low", F.lower("term")))
@@ -234,13 +259,20 @@ def match_terms(vectors: DataFrame, terms: DataFrame) -> DataFrame:
                .select("namespace", "strategy", "term", "id"))
 
     direct = terms.where(F.col("strategy") == DIRECT)
-    # '' stands for terms without any word, which have to meet every content.
-    words = F.array_union(F.regexp_extract_all(F.lower("content"), F.lit(WORD), F.lit(0)), F.array(F.lit("")))
+    # A term without any word is looked up by its first character. The exploded rows are narrow;
+    # content is fetched for the candidates that a word alone does not decide.
+    low = F.lower("content")
+    words = F.array_union(F.regexp_extract_all(low, F.lit(WORD), F.lit(0)), F.regexp_extract_all(low, F.lit(NO_WORD), F.lit(0)))
+    first = F.regexp_extract("low", WORD, 0)
+    found = (wanted.select("namespace", "id", F.explode(words).alias("word"))
+             .join(direct.withColumn("word", F.when(first != "", first).otherwise(F.left("low", F.lit(1)))), ["namespace", "word"]))
     pattern = F.concat(F.lit(r"(?i)\b"), escape_regex(F.col("term")), F.lit(r"\b"))
-    in_content = (wanted.select("namespace", "id", "content", F.explode(words).alias("word"))
-                  .join(direct.withColumn("word", F.regexp_extract("low", WORD, 0)), ["namespace", "word"])
-                  .where((F.col("low") == F.col("word")) | F.rlike(F.col("content"), pattern))
-                  .select("namespace", "strategy", "term", "id"))
+    in_doubt = (found.where(F.col("low") != F.col("word")).join(wanted.select("namespace", "id", "content"), ["namespace", "id"])
+                .where(F.rlike(F.col("content"), pattern)))
+    alone = found.where((F.col("low") == F.col("word")) & F.rlike("low", F.lit(WORD)))
+    single = (found.where((F.col("low") == F.col("word")) & ~F.rlike("low", F.lit(WORD)))
+              .join(wanted.select("namespace", "id", "content"), ["namespace", "id"]).where(F.rlike(F.col("content"), pattern)))
+    in_content = alone.select(*HIT).unionByName(in_doubt.select(*HIT)).unionByName(single.select(*HIT))
 
     names = F.array_union(F.coalesce("function_names", _no_words()), F.coalesce("class_names", _no_words()))
     in_names = (wanted.select("namespace", "id", F.explode(names).alias("term"))
@@ -255,9 +287,11 @@ def search_terms(vectors: DataFrame, probes: DataFrame, key: list[str] = PROBE_K
         return F.concat_ws("\x01", "namespace", "strategy", "term")
 
     hits = staged(match_terms(vectors, probes.select("namespace", "strategy", "term")), "term_hits")
-    chosen = vectors.select("namespace", *carry, "embedding").join(hits, ["namespace", "id"])
-    return top_k(chosen.select(scope().alias("scope"), "namespace", F.lit(0).alias("bits"), *carry, "embedding"),
-                 probes.withColumn("scope", scope()).drop("term"), key, hits.select(scope().alias("scope")))
+    # A vector is joined once, however many terms select it.
+    by_vector = hits.groupBy("namespace", "id").agg(F.collect_list(scope()).alias("scopes"))
+    chosen = vectors.select("namespace", *carry, "embedding").join(by_vector, ["namespace", "id"])
+    return top_k(chosen.select(F.explode("scopes").alias("scope"), "namespace", F.lit(0).alias("bits"), *carry, "embedding"),
+                 probes.withColumn("scope", scope()).drop("term"), key)
 
 
 def _term_strategy(vectors: DataFrame, probes: DataFrame, name: str) -> DataFrame:

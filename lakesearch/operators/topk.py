@@ -1,15 +1,13 @@
 """Exact top-k by cosine for many probes at once.
 
 Scoring every (probe, vector) pair as rows would put each pair through a sort, and a
-join on the namespace would send a large namespace to one task. Instead the vectors are
-scored in blocks: one matrix product per block, of which only the k best of each probe
-leave the task. A final window merges the blocks. The result is exact.
-
-* Few probes (``BROADCAST_PROBES`` rows at most, checked): the probes are broadcast and
-  the vectors are scored where they are read, with no shuffle of the vectors.
-* More: both sides are cut into blocks of bounded size, so the rows of one scope spread
-  over as many tasks as it has blocks, and every block of probes meets every block of
-  vectors of the same scope.
+join on the namespace would send a large namespace to one task. Instead the vectors stay
+where they are read and are scored in blocks, one matrix product per Arrow batch, of which only
+the k best of each probe leave the task. A final window merges the tasks. The result is exact.
+
+Probes come in batches of at most ``BATCH_BYTES``, counted before anything is collected; each
+batch is broadcast, without its carried columns, to one scan of the vectors. All sizes take
+the same way, and no probes take no scan.
 """
 
 from __future__ import annotations
@@ -21,60 +19,73 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lakesearch.functions.similarity import SCORE_DIGITS
+from lakesearch.session import staged
 
-BROADCAST_PROBES = 8192
-BROADCAST_BYTES = 128 << 20
-VECTOR_BLOCK = 8192
-PROBE_BLOCK = 4096
+BATCH_BYTES = 64 << 20
 SCORE_CELLS = 4 << 20
 PENDING_ROWS = 200_000
 
 _UNIT = 10 ** SCORE_DIGITS
 # Below every key, and still so when negated and back.
 _WORST = -np.iinfo(np.int64).max
-_PROBE_ONLY = ["scope", "need", "k", "qvec"]
+_ASKED = ["scope", "need", "k", "qvec"]
 _VECTOR_ONLY = ["scope", "bits", "embedding"]
 
 
-def _unit_rows(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    values = pa.concat_arrays([c.flatten() for c in column.chunks]).to_numpy(zero_copy_only=False)
-    rows = values.astype(np.float64).reshape(len(column), -1)
-    length = np.sqrt((rows * rows).sum(axis=1))
-    return rows / np.where(length > 0, length, 1.0)[:, None], length > 0
+class _Lists:
+    """A column of vectors of any lengths."""
+
+    def __init__(self, column: pa.ChunkedArray | pa.Array):
+        lists = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+        self.sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        self.flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def unit_rows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, matrix of unit vectors) of the usable vectors of one length: all numbers finite, not all zero."""
+        rows = np.flatnonzero(self.sizes == size)
+        values = self.flat[self.starts[rows][:, None] + np.arange(size)]
+        length = np.sqrt((values * values).sum(axis=1))
+        good = np.isfinite(length) & (length > 0)
+        return rows[good], values[good] / length[good, None]
 
 
 def _best_in_block(vectors: pa.Table, probes: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(probe rows, vector rows, scores) of each probe's k best, ties to the smaller id."""
-    order = np.argsort(vectors.column("id").to_numpy(zero_copy_only=False), kind="stable")
-    matrix, usable = _unit_rows(vectors.column("embedding"))
-    matrix, usable = matrix[order], usable[order]
-    bits = vectors.column("bits").to_numpy()[order]
-    queries, asked = _unit_rows(probes.column("qvec"))
+    """(probe rows, vector rows, scores) of each probe's k best, ties to the smaller id.
+
+    A probe meets only vectors of its own length.
+    """
+    stored, asked = _Lists(vectors.column("embedding")), _Lists(probes.column("qvec"))
+    ids, bits = vectors.column("id").to_numpy(zero_copy_only=False), vectors.column("bits").to_numpy()
     need, k = probes.column("need").to_numpy(), probes.column("k").to_numpy()
-    n = len(order)
-    step = max(1, SCORE_CELLS // n)
-    for start in range(0, len(queries), step):
-        part = slice(start, start + step)
-        # Scores are whole multiples of the rounding unit; the position makes keys distinct.
-        keys = np.rint(queries[part] @ matrix.T * _UNIT).astype(np.int64) * n - np.arange(n)
-        open_to = (bits[None, :] & need[part, None]) == need[part, None]
-        keys[~(open_to & usable[None, :] & asked[part, None])] = _WORST
-        most = min(int(k[part].max()), n)
-        top = np.argpartition(keys, n - most, axis=1)[:, n - most:]
-        top = np.take_along_axis(top, np.argsort(-np.take_along_axis(keys, top, 1), axis=1), 1)
-        kept = np.take_along_axis(keys, top, 1)
-        probe, rank = np.nonzero((kept != _WORST) & (np.arange(most)[None, :] < k[part, None]))
-        key = kept[probe, rank]
-        yield probe + start, order[top[probe, rank]], -((-key) // n) / _UNIT
-
-
-def _score(vectors: pa.Table, probes: pa.Table, names: list[str]) -> Iterator[pa.Table]:
+    for size in np.intersect1d(stored.sizes, asked.sizes):
+        rows, matrix = stored.unit_rows(size)
+        wanted, queries = asked.unit_rows(size)
+        n = len(rows)
+        if not size or not n or not len(wanted):
+            continue
+        order = np.argsort(ids[rows], kind="stable")
+        rows, matrix = rows[order], matrix[order]
+        step = max(1, SCORE_CELLS // n)
+        for start in range(0, len(wanted), step):
+            part = wanted[start:start + step]
+            # Scores are whole multiples of the rounding unit; the position makes keys distinct.
+            keys = np.rint(queries[start:start + step] @ matrix.T * _UNIT).astype(np.int64) * n - np.arange(n)
+            keys[(bits[rows][None, :] & need[part, None]) != need[part, None]] = _WORST
+            most = min(int(k[part].max()), n)
+            top = np.argpartition(keys, n - most, axis=1)[:, n - most:]
+            top = np.take_along_axis(top, np.argsort(-np.take_along_axis(keys, top, 1), axis=1), 1)
+            kept = np.take_along_axis(keys, top, 1)
+            probe, rank = np.nonzero((kept != _WORST) & (np.arange(most)[None, :] < k[part, None]))
+            key = kept[probe, rank]
+            yield part[probe], rows[top[probe, rank]], -((-key) // n) / _UNIT
+
+
+def _score(vectors: pa.Table, probes: pa.Table) -> Iterator[pa.Table]:
     for probe, vector, score in _best_in_block(vectors, probes):
-        left = probes.drop_columns(_PROBE_ONLY).take(pa.array(probe))
-        right = vectors.drop_columns(_VECTOR_ONLY).take(pa.array(vector))
-        columns = {n: t.column(n) for t in (left, right) for n in t.column_names}
-        columns["score"] = pa.array(score)
-        yield pa.table({n: columns[n] for n in names})
+        found = vectors.drop_columns(_VECTOR_ONLY).take(pa.array(vector))
+        asked = probes.select(["probe_no", "cut"]).take(pa.array(probe))
+        yield found.append_column("probe_no", asked["probe_no"]).append_column("cut", asked["cut"]).append_column("score", pa.array(score))
 
 
 def _scope_slices(table: pa.Table) -> dict[str, pa.Table]:
@@ -97,92 +108,62 @@ def _keep_best(found: list[pa.Table]) -> pa.Table:
     return rows.filter(pa.array(rank < rows.column("cut").to_numpy()))
 
 
-def _broadcast_blocks(vectors: DataFrame, probes: pa.Table, schema: T.StructType) -> DataFrame:
+def _score_batch(vectors: DataFrame, probes: DataFrame, schema: T.StructType) -> DataFrame:
     """Scores Arrow batches where they are read; a task gives out k rows per probe at most."""
-    probes = probes.append_column("probe_no", pa.array(np.arange(probes.num_rows)))
-    shared = vectors.sparkSession.sparkContext.broadcast(probes)
+    shared = vectors.sparkSession.sparkContext.broadcast(_scope_slices(probes.toArrow()))
     names = schema.fieldNames()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_scope = _scope_slices(shared.value)
+        by_scope = shared.value
         found: list[pa.Table] = []
         waiting, kept = 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             for scope, rows in _scope_slices(pa.Table.from_batches([batch])).items():
-                for out in _score(rows, by_scope[scope], [*names, "probe_no"]) if scope in by_scope else ():
-                    found.append(out)
+                for out in _score(rows, by_scope[scope]) if scope in by_scope else ():
+                    found.append(out.select(names))
                     waiting += out.num_rows
             if waiting > max(PENDING_ROWS, kept):
                 found = [_keep_best(found)]
                 waiting, kept = 0, found[0].num_rows
         if found:
-            yield from _keep_best(found).select(names).to_batches()
+            yield from _keep_best(found).to_batches()
 
     return vectors.mapInArrow(score, schema)
 
 
-def _shuffled_blocks(vectors: DataFrame, probes: DataFrame, scopes: DataFrame, schema: T.StructType) -> DataFrame:
-    names = schema.fieldNames()
-
-    def blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
-        return rows.groupBy("scope").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
-
-    def numbers(count: str):
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    sizes = blocks(scopes, "v_blocks", VECTOR_BLOCK).join(blocks(probes, "q_blocks", PROBE_BLOCK), "scope")
-    left = (vectors.join(sizes, "scope")
-            .withColumn("v_block", F.pmod(F.xxhash64("id"), F.col("v_blocks")).cast("int"))
-            .withColumn("q_block", numbers("q_blocks")).drop("v_blocks", "q_blocks"))
-    probe_columns = [c for c in probes.columns if c not in _PROBE_ONLY]
-    right = (probes.join(sizes, "scope")
-             .withColumn("q_block", F.pmod(F.xxhash64(*probe_columns), F.col("q_blocks")).cast("int"))
-             .withColumn("v_block", numbers("v_blocks")).drop("v_blocks", "q_blocks"))
-    cell = ["scope", "v_block", "q_block"]
-    helpers = ["v_block", "q_block"]
-
-    def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        found = (list(_score(rows.drop_columns(helpers), asked.drop_columns(helpers), names))
-                 if rows.num_rows and asked.num_rows else [])
-        return pa.concat_tables(found) if found else pa.table(
-            {f.name: pa.array([], _arrow_type(f.dataType)) for f in schema.fields})
-
-    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(score, schema)
-
-
-def _arrow_type(kind: T.DataType) -> pa.DataType:
-    plain = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(),
-             "boolean": pa.bool_(), "float": pa.float32()}
-    return plain[kind.simpleString()]
-
-
-def top_k(vectors: DataFrame, probes: DataFrame, key: list[str], scopes: DataFrame | None = None) -> DataFrame:
+def top_k(vectors: DataFrame, probes: DataFrame, key: list[str]) -> DataFrame:
     """The k best vectors of each probe's scope.
 
     ``vectors``: scope STRING, id STRING, bits INT, embedding, other columns to carry.
     ``probes``: scope STRING, need INT (bits a vector must have), k INT, qvec, and other
     columns to carry, of which ``key`` names one probe.
-    ``scopes``: one ``scope`` per vector row, where that is cheaper to count than ``vectors``.
-    Returns the carried columns with ``score`` and ``rank``.
+    Vectors that are empty, all zeros or hold a null or non-finite number, and pairs of
+    different lengths, have no score.
+    Returns the carried columns with ``score`` (``SCORE_DIGITS`` digits) and ``rank``.
     """
-    vectors = vectors.where("size(embedding) > 0")
-    probes = probes.where("size(qvec) > 0")
-    carried = ([f for f in probes.schema.fields if f.name not in _PROBE_ONLY]
-               + [f for f in vectors.schema.fields if f.name not in _VECTOR_ONLY])
+    vectors = vectors.where("size(embedding) > 0 and scope is not null")
+    probes = staged(probes.where("size(qvec) > 0 and scope is not null and k > 0")
+                    .withColumn("probe_no", F.monotonically_increasing_id()), "numbered")
+    carried = [c for c in probes.columns if c not in (*_ASKED, "probe_no")]
+    plain = [f for f in vectors.schema.fields if f.name not in _VECTOR_ONLY]
+    schema = T.StructType([*plain, T.StructField("probe_no", T.LongType()), T.StructField("cut", T.IntegerType()),
+                           T.StructField("score", T.DoubleType())])
+    size = probes.agg(F.sum(F.octet_length("scope").cast("long") + 8 * F.size("qvec") + 64)).first()[0] or 0
+    batches = -(-size // BATCH_BYTES)
+    asked = probes.select("scope", "need", "k", F.col("k").alias("cut"), "qvec", "probe_no")
+    parts = [_score_batch(vectors, asked.where(F.pmod(F.xxhash64("probe_no"), F.lit(batches)) == i), schema) for i in range(batches)]
+    if not parts:
+        scored = vectors.sparkSession.createDataFrame([], schema)
+    elif batches == 1:
+        scored = parts[0]
+    else:  # one scan at a time
+        scored = staged(parts[0], "scored")
+        for part in parts[1:]:
+            scored = scored.unionByName(staged(part, "scored"))
+    order = Window.partitionBy("probe_no").orderBy(F.desc("score"), "id")
+    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= F.col("cut")).drop("cut")
     # A column both sides have (the namespace) is taken from the vector.
-    by_name = {f.name: f for f in carried}
-    schema = T.StructType([*by_name.values(), T.StructField("score", T.DoubleType())])
-    head = probes.limit(BROADCAST_PROBES + 1).toArrow()
-    if head.num_rows <= BROADCAST_PROBES and head.nbytes <= BROADCAST_BYTES:
-        scored = _broadcast_blocks(vectors, head.append_column("cut", head.column("k")), _with_cut(schema))
-    else:
-        scored = _shuffled_blocks(vectors, probes.withColumn("cut", F.col("k")), scopes or vectors, _with_cut(schema))
-    order = Window.partitionBy(*key).orderBy(F.desc("score"), "id")
-    return (scored.withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= F.col("cut")).drop("cut"))
-
-
-def _with_cut(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("cut", T.IntegerType())])
+    own = [c for c in carried if c not in {f.name for f in plain}]
+    return best.join(probes.select("probe_no", *own), "probe_no").drop("probe_no")

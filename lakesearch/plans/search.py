@@ -42,13 +42,14 @@ def agentic_search(requests: DataFrame, vectors: DataFrame, profiles: DataFrame,
                    embed: Embed, embed_query: Embed, defaults: list[str] = ()) -> DataFrame:
     """Analysis → namespaces → probes → matches → de-duplication → ten best per query.
 
-    ``embed`` adds ``qvec`` to probes by their text, ``embed_query`` to requests.
+    ``embed`` adds ``qvec`` to probes by their text, ``embed_query`` to requests. Matches are written once,
+    as the fallback reads them twice, and so is the result, whose size then decides how it is joined.
     """
     probes, targets = plan_probes(requests, vectors, profiles, mapping, embed, defaults)
-    matches = R.boosted_rank(R.dedupe_first_seen(R.union_provenance(vectors, probes, profiles)))
+    matches = staged(R.boosted_rank(R.dedupe_first_seen(R.union_provenance(vectors, probes, profiles))), "matches")
     basic = embed_query(targets.select("query_id", "query", "query_type", "namespace", "namespace_ord")).drop("query")
     found = R.fallback_basic(matches, vectors, basic)
-    return R.final_top10(found)
+    return staged(R.final_top10(found), "best")
 
 
 def all_namespace_search(requests: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -57,7 +58,6 @@ def all_namespace_search(requests: DataFrame, vectors: DataFrame) -> DataFrame:
     ``requests``: (query_id, query, top_k, per_ns_k, min_score, qvec); blank questions are
     left out here and reported by ``clamp_request``.
     """
-    present = vectors.select("namespace").distinct().agg(F.collect_list("namespace")).scalar()
     valid = R.clamp_request(requests).where("error is null").drop("error", "query")
-    matches = R.topk_per_namespace(vectors, valid.withColumn("namespace", F.explode(present)))
+    matches = R.topk_per_namespace(vectors, R.in_every_namespace(valid, vectors))
     return R.topk_merged(R.min_score_filter(matches))

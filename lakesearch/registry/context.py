@@ -76,7 +76,7 @@ def _text(value):
 
 _HEAD, _REST = A.MARKDOWN_TEMPLATE.split("{question}")
 _MIDDLE, _TAIL = _REST.split("{context}")
-_ALL_NAMESPACE = base.ORACLES["all_namespace_search"]
+_ALL_NAMESPACE = base.ALL_NAMESPACE
 
 ORACLES = {
     "context_plain": _ALL_NAMESPACE.replace("select query_id, rank, namespace, id, score from merged where rank <= top_k", "") + """

@@ -8,7 +8,7 @@ term position, standing in for the external model.
 from pyspark.sql import functions as F
 
 from lakesearch.functions.filters import compile_filter
-from lakesearch.functions.similarity import cosine_score as cosine_column
+from lakesearch.functions.similarity import SHOWN_DIGITS, cosine_score as cosine_column
 from lakesearch.operators import retrieval as R
 from lakesearch.operators.analysis import CONTEXTUAL, DIRECT, FILES, SEMANTIC, analyze_query
 from lakesearch.plans import search
@@ -237,7 +237,16 @@ def all_namespace_search(spark, sf):
         "query_id", "rank", "namespace", "id", "score")
 
 
-QUERIES = {f.__name__: f for f in (
+def _shown(query):
+    """Scores with the digits that results show."""
+    def run(spark, sf):
+        found = query(spark, sf)
+        return found.withColumn("score", F.round("score", SHOWN_DIGITS)) if "score" in found.columns else found
+
+    return run
+
+
+QUERIES = {f.__name__: _shown(f) for f in (
     cosine_score, topk_per_namespace, topk_merged, min_score_filter, clamp_request, metadata_filter, search_live,
     search_similar, search_basic, map_repo_namespace, resolve_namespaces, contextual_keywords, strategy_probes,
     expand_probe_text, search_direct_entity, search_contextual, search_semantic, file_patterns, search_file_structure,
@@ -246,7 +255,7 @@ QUERIES = {f.__name__: f for f in (
 
 # ---- oracles -------------------------------------------------------------------------
 
-_COSINE = "round(list_cosine_similarity(q.qvec::double[], v.embedding::double[]), 6)"
+_COSINE = "round(list_cosine_similarity(q.qvec::double[], v.embedding::double[]), 12)"
 
 _ALL_PAIRS = cte("vectors") + f""", scored as (
   select q.vec_id as query_id, v.namespace, v.id, {_COSINE} as score
@@ -323,7 +332,7 @@ cand as (
 qv as (select vec_id, embedding::double[] as qvec from embeddings),
 ev as (select id, embedding::double[] as embedding from vectors),
 scored as (
-  select c.*, round(list_cosine_similarity(qv.qvec, ev.embedding), 6) as score
+  select c.*, round(list_cosine_similarity(qv.qvec, ev.embedding), 12) as score
   from cand c join qv on qv.vec_id = (c.query_id * 31 + c.strategy_ord * 7 + c.term_pos) % (select count(*) from embeddings) join ev using (id)),
 matches as (
   select *, row_number() over (partition by query_id, namespace_ord, strategy, term_pos order by score desc, id)::int as rank
@@ -344,7 +353,7 @@ _TOP10 = """, final as (select *, row_number() over (partition by query_id
 
 _BASIC = """, basic as (
   select t.query_id, t.namespace, t.namespace_ord, v.id, v.file_path, v.line_start,
-    round(list_cosine_similarity(qv.qvec, ev.embedding), 6) as score
+    round(list_cosine_similarity(qv.qvec, ev.embedding), 12) as score
   from targets t join analysis a using (query_id) join vecs v using (namespace) join ev using (id)
     join qv on qv.vec_id = t.query_id * 31 % (select count(*) from embeddings)
   where t.query <> '' and t.query_id not in (select query_id from {found})),
@@ -416,3 +425,11 @@ AGENTIC = FINAL + _BASIC.format(found="final") + f""", everything as (
     'basic_vector_search', id, file_path, line_start, score, namespace_ord from basic5 qualify fr <= 10)
 """
 ORACLES["agentic_search"] = AGENTIC + f"select {_RESULT} from everything"
+
+ALL_NAMESPACE = ORACLES["all_namespace_search"]
+
+#: Queries that return scores.
+_SCORED = ["cosine_score", "topk_per_namespace", "topk_merged", "min_score_filter", "search_live", "search_similar", "search_basic",
+           "search_direct_entity", "search_contextual", "search_semantic", "search_file_structure", "union_provenance", "dedupe_first_seen",
+           "final_top10", "fallback_basic", "all_namespace_search", "agentic_search"]
+ORACLES.update({name: f"select * replace (round(score, {SHOWN_DIGITS}) as score) from ({ORACLES[name]})" for name in _SCORED})

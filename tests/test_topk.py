@@ -1,4 +1,4 @@
-"""The blocked top-k against brute force, on both physical paths."""
+"""The blocked top-k against brute force, with one batch of probes and with many."""
 
 import numpy as np
 import pytest
@@ -35,12 +35,9 @@ def _brute(vectors, probes):
     return {n: rows for n, rows in found.items() if rows}
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_equals_brute_force(spark, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(topk, "BROADCAST_PROBES", 0)
-        monkeypatch.setattr(topk, "VECTOR_BLOCK", 16)
-        monkeypatch.setattr(topk, "PROBE_BLOCK", 5)
+@pytest.mark.parametrize("batch_bytes", [64 << 20, 900])
+def test_equals_brute_force(spark, monkeypatch, batch_bytes):
+    monkeypatch.setattr(topk, "BATCH_BYTES", batch_bytes)
     monkeypatch.setattr(topk, "SCORE_CELLS", 500)
     monkeypatch.setattr(topk, "PENDING_ROWS", 10)
     vectors, probes = _data()
@@ -56,3 +53,40 @@ def test_equals_brute_force(spark, monkeypatch, broadcast):
     for number, found in want.items():
         assert [i for i, _ in got[number]] == [i for i, _ in found]
         assert np.allclose([s for _, s in got[number]], [s for _, s in found], atol=1e-6)
+
+
+VECTORS_DDL = "scope string, id string, bits int, embedding array<float>"
+PROBES_DDL = "scope string, number bigint, need int, k int, qvec array<float>"
+
+
+def test_lengths_nulls_and_non_finite_numbers(spark):
+    rows = spark.createDataFrame([("s", "two", 0, [1.0, 0.0]), ("s", "three", 0, [1.0, 0.0, 0.0]), ("s", "four", 0, [1.0, 0.0, 0.0, 0.0]),
+                                  ("s", "null", 0, [1.0, None, 0.0]), ("s", "nan", 0, [1.0, float("nan"), 0.0]), ("s", "zero", 0, [0.0] * 3),
+                                  ("s", "empty", 0, []), ("s", "none", 0, None)], VECTORS_DDL)
+    asked = spark.createDataFrame([("s", 1, 0, 5, [2.0, 0.0, 0.0]), ("s", 2, 0, 5, [0.0, 1.0]), ("s", 3, 0, 5, [None, 1.0, 0.0])], PROBES_DDL)
+    assert [(r.number, r.id, r.score) for r in topk.top_k(rows, asked, ["number"]).orderBy("number").collect()] == [(1, "three", 1.0), (2, "two", 0.0)]
+
+
+def test_carries_columns_of_any_type(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(topk, "BATCH_BYTES", 200)
+    extra = [F.array(F.lit("a"), F.lit("b")).alias("list"), F.struct(F.lit(1).alias("x"), F.lit("y").alias("y")).alias("pair"),
+             F.timestamp_seconds(F.lit(0)).alias("at"), F.create_map(F.lit("k"), F.lit(1)).alias("map")]
+    rows = spark.createDataFrame([("s", f"v{i}", 0, [1.0, float(i)]) for i in range(9)] + [("t", "w", 0, [1.0, 1.0])], VECTORS_DDL).select("*", *extra)
+    asked = spark.createDataFrame([("s", i, 0, 2, [1.0, 1.0]) for i in range(9)] + [("u", 99, 0, 2, [1.0, 1.0])], PROBES_DDL)
+    asked = asked.select("*", F.array(F.lit(1)).alias("note"), F.current_date().alias("day"))
+    out = topk.top_k(rows, asked, ["number"]).collect()
+    assert len(out) == 18 and all(r.list == ["a", "b"] and r.pair.y == "y" and r.map == {"k": 1} and r.note == [1] for r in out)
+
+
+def test_near_ties_at_the_edge_are_ordered_by_full_score(spark):
+    rows = spark.createDataFrame([("s", "a", 0, [1.0, 2e-4]), ("s", "b", 0, [1.0, 1e-4])], VECTORS_DDL)
+    asked = spark.createDataFrame([("s", 1, 0, 1, [1.0, 0.0])], PROBES_DDL)
+    assert [r.id for r in topk.top_k(rows, asked, ["number"]).collect()] == ["b"]
+
+
+def test_no_probes_need_no_scan(spark):
+    rows = spark.createDataFrame([("s", "a", 0, [1.0])], VECTORS_DDL)
+    out = topk.top_k(rows, spark.createDataFrame([], PROBES_DDL), ["number"])
+    assert out.collect() == [] and {"number", "id", "score", "rank"} <= set(out.columns)
+    assert "ArrowMap" not in out._jdf.queryExecution().toString() and "MapInArrow" not in out._jdf.queryExecution().toString()
