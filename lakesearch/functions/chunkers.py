@@ -16,7 +16,6 @@ SENTENCE_TOKENS, SENTENCE_OVERLAP = 1024, 200
 MAX_TOKENS, PIECE_CHARS = 8192, 3000
 PREVIEW_LINES, SUMMARY_PREVIEW = 20, 500
 SUMMARY_PREVIEW_TYPES = ["txt", "log", "conf", "ini", "cfg"]
-JSON_DEPTH = 6
 
 _NO_STARTS = "cast(array() as array<int>)"
 
@@ -98,16 +97,20 @@ def _json_children(node: Column) -> Column:
 def json_chunks(text: Column) -> Column:
     """One chunk per top-level key or element, as ``path value`` lines; null for bad JSON.
 
-    Object keys come in sorted order. Structures nested deeper than ``JSON_DEPTH`` keep
-    their JSON text as the value.
+    Object keys come in sorted order. Containers are opened as often as the text's brackets
+    nest; empty ones have no line.
     """
+    brackets = F.regexp_extract_all(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', ""), F.lit(r"[\[\]{}]"), F.lit(0))
+    nesting = F.aggregate(brackets, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda acc, b: let(
+        acc["now"] + F.when(b.isin("{", "["), 1).otherwise(-1), lambda now: F.struct(
+            now.alias("now"), F.greatest(acc["most"], now).alias("most"))), lambda acc: acc["most"])
+
     def line(leaf: Column) -> Column:
         return F.concat_ws(" ", F.nullif(leaf["path"], F.lit("")), F.coalesce(leaf["value"].cast("string"), F.lit("null")))
 
     def chunk(top: Column) -> Column:
-        leaves = F.array(top)
-        for _ in range(JSON_DEPTH):
-            leaves = F.flatten(F.transform(leaves, _json_children))
+        rounds = F.sequence(F.lit(1), F.greatest(nesting, F.lit(1)))
+        leaves = F.aggregate(rounds, F.array(top), lambda acc, _: F.flatten(F.transform(acc, _json_children)))
         return F.array_join(F.transform(leaves, line), "\n")
 
     tops = let(F.try_parse_json(text), lambda v: F.when(

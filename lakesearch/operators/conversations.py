@@ -7,20 +7,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakesearch.functions.text import strip
 
 KEEP = 50
-SEGMENT_TURNS = 10_000
 TITLE, SAVED_TITLE = 30, 50
 WARN_LENGTH, ERROR_LENGTH, LENGTH_LIMIT = 3000, 3500, 4000
 
 
-def fold_conversation(turns: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
-    """One row per conversation with its turns in order.
-
-    A conversation longer than ``segment_turns`` continues in further rows (``segment``
-    1, 2, ...), so no row and no task has to hold a conversation of any length.
-    """
+def fold_conversation(turns: DataFrame) -> DataFrame:
+    """One row per conversation with its turns in order."""
     message = F.struct("turn", "role", F.col("text").alias("content"))
-    segment = F.floor(F.col("turn") / segment_turns).alias("segment")
-    return turns.groupBy("conv_id", segment).agg(F.transform(
+    return turns.groupBy("conv_id").agg(F.transform(
         F.array_sort(F.collect_list(message)),
         lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
 
@@ -99,5 +93,6 @@ def request_from_message(messages: DataFrame) -> DataFrame:
 def repository_catalogue(repos: DataFrame, prefix: str = "") -> DataFrame:
     """Distinct names in first-seen order, with a display name free of ``prefix``."""
     distinct = repos.groupBy("name").agg(F.min("pos").alias("pos"))
-    display = F.regexp_replace("name", "^" + prefix, "") if prefix else F.col("name")
+    name = F.col("name")
+    display = F.when(name.startswith(prefix), F.substring(name, len(prefix) + 1, 2**31 - 1)).otherwise(name)
     return distinct.select("name", "pos", display.alias("display_name"))

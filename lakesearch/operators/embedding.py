@@ -11,7 +11,7 @@ from lakesearch.functions import identity as I
 from lakesearch.functions.chunkers import MAX_TOKENS
 from lakesearch.functions.file_types import index_language
 from lakesearch.functions.numbering import numbered
-from lakesearch.functions.text import is_blank
+from lakesearch.functions.text import is_blank, sorted_set
 from lakesearch.operators.chunking import line_range
 from lakesearch.operators.vectors import upsert_by_id
 
@@ -38,7 +38,11 @@ def embed_texts(rows: DataFrame, load_model: Callable[[], Model], text: str = "c
             asked = texts.str.strip() != ""
             vectors: list[list[float]] = []
             for start in range(0, int(asked.sum()), batch):
-                vectors.extend(model(texts[asked].iloc[start:start + batch].tolist()))
+                part = texts[asked].iloc[start:start + batch].tolist()
+                got = model(part)
+                if len(got) != len(part):
+                    raise ValueError(f"the model gave {len(got)} vectors for {len(part)} texts")
+                vectors.extend(got)
             answers = iter(vectors)
             out = [next(answers) if a else [] for a in asked]
             errors = ["Empty text provided for embedding" if not a else None if len(v) else "Received empty embedding"
@@ -85,14 +89,37 @@ def positional_id(rows: DataFrame, order: list[str]) -> DataFrame:
         .drop("position")
 
 
+# How a chunk names what it defines, and what makes it complex. The characters before are spelled out,
+# as engines differ in what a word boundary is.
+_BEFORE = r"(?:^|[^\p{L}\p{N}_])"
+FUNCTION_NAME = _BEFORE + r"(?:def|function|fn|func)\s+([A-Za-z_][A-Za-z0-9_]*)"
+CLASS_NAME = _BEFORE + r"class\s+([A-Za-z_][A-Za-z0-9_]*)"
+BRANCH = _BEFORE + r"(?:if|elif|for|while|case|switch|catch|except)[\s(:{]"
+BRANCHES_OF_COMPLEX = 10.0
+
+
+def defined_names(content: Column, pattern: str) -> Column:
+    return sorted_set(F.regexp_extract_all(content, F.lit(pattern), F.lit(1)))
+
+
+def code_complexity(content: Column) -> Column:
+    """Branches of a chunk as a share of those of a complex one, 1.0 at most."""
+    return F.least(F.lit(1.0), F.regexp_count(content, F.lit(BRANCH)) / F.lit(BRANCHES_OF_COMPLEX))
+
+
 def sync_record(chunks: DataFrame) -> DataFrame:
-    """The record of the sync path; ``chunks`` are embedded and carry ``status``."""
+    """The record of the sync path; ``chunks`` are embedded and carry ``status``. It has all columns that the
+    searches read; a synced chunk is live."""
+    sha = F.col("commit_sha") if "commit_sha" in chunks.columns else F.lit(None).cast("string")
     return stable_record_id(chunks).select(
         "id", F.col("repo_name").alias("namespace"), "repo_name", "file_path", "file_type", "language", "chunk_index",
         F.when(F.col("should_embed"), "content").otherwise("summary").alias("chunk_type"),
         F.col("id").alias("chunk_id"), "content", "line_start", "line_end",
         line_range(F.col("line_start"), F.col("line_end")).alias("line_range"),
-        "embedded", "should_embed", "status", "token_count", "embedding")
+        "embedded", "should_embed", "status", "token_count", sha.alias("commit_sha"), F.lit(True).alias("live"),
+        code_complexity(F.col("content")).alias("code_complexity"),
+        defined_names(F.col("content"), FUNCTION_NAME).alias("function_names"),
+        defined_names(F.col("content"), CLASS_NAME).alias("class_names"), "embedding")
 
 
 def enriched_record(chunks: DataFrame, enrichment: DataFrame, timestamps: DataFrame | None = None) -> DataFrame:

@@ -56,12 +56,22 @@ def verify_checksum(blobs: DataFrame, checksums: DataFrame) -> DataFrame:
 
 
 def restore_vectors(vectors: DataFrame, archived: DataFrame, restored_at: str) -> tuple[DataFrame, DataFrame]:
-    """(table, report): upsert archived vectors, stamped with the given ISO time."""
+    """(table, report): upsert archived vectors, stamped with the given ISO time.
+
+    Of several vectors with one id the last of the last document wins. Metadata that the table
+    does not have is added to it as new columns where an archive holds any.
+    """
+    if "place" in archived.columns:
+        archived = archived.withColumn("order", F.struct(*[c for c in ("path", "place") if c in archived.columns])).drop("path", "place")
+    known = {*vectors.columns, "id", "order"}
+    extra = [c for c in archived.columns if c not in known]
+    held = archived.agg(*[F.count(c).alias(c) for c in extra]).first() if extra else ()
+    archived = archived.drop(*[c for c, n in zip(extra, held) if not n])
     stamped = archived.withColumn("restored_at", F.lit(restored_at))
     base = vectors if "restored_at" in vectors.columns \
         else vectors.withColumn("restored_at", F.lit(None).cast("string"))
     report = stamped.groupBy("repo_name", "commit_sha").agg(F.count(F.lit(1)).alias("vectors_restored"))
-    return upsert_by_id(base, stamped), report
+    return upsert_by_id(base, stamped, "order" if "order" in stamped.columns else None), report
 
 
 def activate_commit(vectors: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,8 +83,8 @@ def activate_commit(vectors: DataFrame, targets: DataFrame) -> tuple[DataFrame,
     wanted = targets.select("repo_name", F.col("commit_sha").alias("live_sha"))
     rows = vectors.join(wanted, "repo_name", "left")
     hit, touched = F.col("commit_sha") == F.col("live_sha"), F.col("live_sha").isNotNull()
-    table = rows.withColumn("live", F.when(touched, F.coalesce(hit, F.lit(False))).otherwise(F.col("live"))) \
-        .select(*vectors.columns)
+    table = rows.withColumn("live", F.when(touched & F.coalesce(hit, F.lit(False)), True)
+                            .when(touched & F.col("live"), False).otherwise(F.col("live"))).select(*vectors.columns)
     report = rows.where(touched).groupBy("repo_name").agg(
         F.count_if("live").alias("deactivated_count"), F.count_if(hit).alias("activated_count"))
     return table, report

@@ -10,18 +10,17 @@ from lakesearch.sources.files import read_archive
 
 
 def restore_archive(vectors: DataFrame, blobs: DataFrame, checksums: DataFrame, restored_at: str,
-                    set_live: bool = False) -> tuple[DataFrame, DataFrame]:
+                    live: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(table, report) after restoring archive documents (path, content BINARY).
 
-    A document whose checksum does not match is left out and reported. With ``set_live``
-    the restored commit of each repository becomes its live one.
+    A document whose checksum does not match is left out and reported. ``live`` (repo_name, commit_sha)
+    names the commits to make live.
     """
     checked = staged(verify_checksum(blobs, checksums), "archives")
     archived = read_archive(checked.where("valid"))
-    table, report = restore_vectors(vectors, archived.drop("path"), restored_at)
+    table, report = restore_vectors(vectors, archived, restored_at)
     rejected = checked.where(~F.col("valid")).select("path", F.lit("checksum mismatch").alias("error"))
-    if set_live:
-        targets = report.groupBy("repo_name").agg(F.max("commit_sha").alias("commit_sha"))
-        table, activation = activate_commit(table, targets)
+    if live is not None:
+        table, activation = activate_commit(table, live)
         report = report.join(activation, "repo_name", "left")
     return table, report.unionByName(rejected, allowMissingColumns=True)

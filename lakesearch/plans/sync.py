@@ -12,7 +12,7 @@ from lakesearch.operators.chunking import chunk_files
 from lakesearch.operators.embedding import embed_gate, hash_embed, reject_empty_vectors, sync_record
 from lakesearch.operators.vectors import delete_by_file, upsert_by_id
 from lakesearch.session import staged
-from lakesearch.sources.vector_table import BUCKETS, read_vectors, with_bucket, write_vectors
+from lakesearch.sources.vector_table import BUCKETS, has_table, only_partitions, read_vectors, with_bucket, write_vectors
 
 RECORD_ORDER = ["file_path", "chunk_index"]
 FAILURE_COLUMNS = ["repo_name", "file_path", "operation", "message", "status"]
@@ -91,8 +91,12 @@ def apply_sync_to_table(path: str, sync: Sync, buckets: int = BUCKETS) -> None:
     touched = with_bucket(sync.deletes.select("namespace", "file_path").unionByName(
         sync.records.select("namespace", "file_path")), buckets).select("namespace", "bucket").distinct()
     touched = staged(touched, "touched")
-    stored = read_vectors(spark, path).join(touched, ["namespace", "bucket"], "left_semi").drop("bucket")
+    if has_table(spark, path):
+        stored = only_partitions(read_vectors(spark, path), touched).drop("bucket")
+    else:  # the first sync of a new table
+        stored = sync.records.limit(0)
     rewritten = staged(with_bucket(apply_sync(stored, sync), buckets), "rewritten")
+    rewritten = rewritten.select(*sync.records.columns, "bucket", *[c for c in rewritten.columns if c not in (*sync.records.columns, "bucket")])
     # A partition that lost its last row is replaced by one marker row.
     emptied = touched.join(rewritten.select("namespace", "bucket").distinct(), ["namespace", "bucket"], "left_anti")
     write_vectors(rewritten.unionByName(emptied, allowMissingColumns=True), path, buckets)

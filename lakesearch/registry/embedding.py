@@ -73,7 +73,8 @@ def records(spark, sf, max_tokens=40):
 
 
 def sync_record(spark, sf):
-    return records(spark, sf).drop("embedding")
+    names = {c: F.array_join(c, "|") for c in ("function_names", "class_names")}
+    return records(spark, sf).drop("embedding").withColumns(names)
 
 
 def _enrichment(spark, sf):
@@ -174,7 +175,10 @@ from lines""",
     "sync_record": LINES + f"""select {_ID} as id, repo_name as namespace, repo_name, file_path, file_type, language, chunk_index,
   case when should_embed then 'content' else 'summary' end as chunk_type, {_ID} as chunk_id, content, chunk_index + 1 as line_start,
   chunk_index + 1 as line_end, 'L' || (chunk_index + 1) || '-L' || (chunk_index + 1) as line_range,
-  should_embed and token_count <= 40 as embedded, should_embed, 'A' as status, token_count from lines""",
+  should_embed and token_count <= 40 as embedded, should_embed, 'A' as status, token_count, commit_sha, true as live,
+  least(1.0::double, len(regexp_extract_all(content, '{E.BRANCH}')) / 10.0::double) as code_complexity,
+  array_to_string(list_sort(list_distinct(regexp_extract_all(content, '{E.FUNCTION_NAME}', 1))), '|') as function_names,
+  array_to_string(list_sort(list_distinct(regexp_extract_all(content, '{E.CLASS_NAME}', 1))), '|') as class_names from lines""",
     "enriched_record": _ENRICHED + "select * from enriched",
     "upsert_batches": LINES + """select repo_name, file_path, chunk_index,
   (row_number() over (partition by repo_name order by file_path, chunk_index) - 1) // 10 as batch from lines""",

@@ -101,7 +101,7 @@ select event_id, ts, case when event_id % 10 = 0 then '{bad'
     || (case event_id % 3 when 0 then 'process' when 1 then 'delete' else 'upsert' end) || '","message":"m"'
     || (case event_id % 4 when 0 then '' when 1 then ',"status":"a"' when 2 then ',"status":"Z"' else ',"status":"D"' end)
     || '}' end as line
-from events where event_type = 'error'""",
+from events""",
     "messages": """
 select conv_id, turn, role, case when role = 'assistant' and turn % 2 = 1
   then 'See `name_' || turn || '` and' || chr(10) || repeat(chr(96),3)

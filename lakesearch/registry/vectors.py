@@ -92,7 +92,7 @@ def verify_checksum(spark, sf):
 
 def restore_vectors(spark, sf):
     """Restore the archives of odd commits over a table that lost half of its rows."""
-    archived = sources.read_archive(archives(spark, sf)).where("commit_sha in ('c1', 'c3')").drop("path")
+    archived = sources.read_archive(archives(spark, sf)).where("commit_sha in ('c1', 'c3')")
     stored = _vectors(spark, sf).where("vec_id % 2 = 0").select(*META, "embedding")
     table, _ = V.restore_vectors(stored, archived, "2024-05-01T00:00:00")
     return table.select(*META, "restored_at", F.round(F.aggregate(

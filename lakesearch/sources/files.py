@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakesearch.functions.text import is_blank, strip
@@ -12,11 +14,20 @@ def decode_lossy(content: Column) -> Column:
     return F.replace(F.make_valid_utf8(content.cast("string")), F.lit("�"), F.lit(""))
 
 
+def below(spark: SparkSession, root: str, path: Column) -> Column:
+    """A file's path relative to ``root``, as change lists name it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    bare = "/" + re.sub(r"^[a-z0-9]+:/+", "", whole).strip("/") + "/"
+    local = F.concat(F.lit("/"), F.regexp_replace(path, "^[a-z0-9]+:/+", ""))
+    return F.when(local.startswith(bare), F.substring(local, len(bare) + 1, 2**31 - 1)).otherwise(path)
+
+
 def read_files(spark: SparkSession, root: str, repo_name: str, glob: str = "*") -> DataFrame:
-    """Whole files below ``root`` as (repo_name, file_path, content, size_bytes)."""
+    """Whole files below ``root`` as (repo_name, file_path, content, size_bytes), paths relative to ``root``."""
     blobs = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", glob).load(root))
-    return blobs.select(F.lit(repo_name).alias("repo_name"), F.col("path").alias("file_path"),
+    return blobs.select(F.lit(repo_name).alias("repo_name"), below(spark, root, F.col("path")).alias("file_path"),
                         decode_lossy(F.col("content")).alias("content"), F.col("length").alias("size_bytes"))
 
 
@@ -43,9 +54,11 @@ def append_error_log(errors: DataFrame, path: str) -> None:
     errors.select("file_path", "operation", "message", "status").write.mode("append").json(path)
 
 
-ARCHIVE_SCHEMA = """vectors array<struct<id: string, values: array<float>, metadata: struct<
-    namespace: string, repo_name: string, file_path: string, commit_sha: string, content: string,
-    line_start: int, live: boolean>>>"""
+#: Metadata of the vector table that an archive may hold.
+METADATA = """namespace string, repo_name string, file_path string, file_type string, language string, chunk_index int,
+    chunk_type string, chunk_id string, content string, line_start int, line_end int, line_range string, token_count int,
+    embedded boolean, should_embed boolean, status string, commit_sha string, live boolean, code_complexity double,
+    function_names array<string>, class_names array<string>"""
 
 
 def read_archive_blobs(spark: SparkSession, root: str, glob: str = "archive*.json") -> DataFrame:
@@ -63,11 +76,16 @@ def read_checksums(spark: SparkSession, root: str) -> DataFrame:
                        .alias("path"), "archive_sha256")
 
 
-def read_archive(blobs: DataFrame) -> DataFrame:
-    """Vectors of archive documents: (path, id, embedding, metadata fields)."""
-    document = F.from_json(F.col("content").cast("string"), ARCHIVE_SCHEMA)
-    return (blobs.select("path", F.explode(document["vectors"]).alias("v"))
-            .select("path", "v.id", F.col("v.values").alias("embedding"), "v.metadata.*"))
+def read_archive(blobs: DataFrame, metadata: str = METADATA) -> DataFrame:
+    """Vectors of archive documents: (path, place, id, embedding, metadata fields).
+
+    ``metadata`` (DDL) names the fields to read; ``place`` is a vector's place in its document.
+    """
+    kinds = F.from_json(F.lit("{}"), metadata)
+    inner = blobs.select(kinds.alias("m")).schema["m"].dataType.simpleString()
+    document = F.from_json(F.col("content").cast("string"), f"vectors array<struct<id: string, `values`: array<float>, metadata: {inner}>>")
+    return (blobs.select("path", F.posexplode(document["vectors"]).alias("place", "v"))
+            .select("path", "place", "v.id", F.col("v.values").alias("embedding"), "v.metadata.*"))
 
 
 def list_archives(paths: DataFrame, repo_name: str | None = None) -> DataFrame:

@@ -22,11 +22,27 @@ def write_vectors(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     A row without an id only marks its partition as emptied.
     """
     placed = rows if "bucket" in rows.columns else with_bucket(rows, buckets)
-    (placed.repartition("namespace", "bucket")
+    # Rebalanced by partition, so that a bucket of a large namespace is written by several tasks.
+    (placed.hint("rebalance", F.col("namespace"), F.col("bucket"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", FILE_RECORDS).partitionBy("namespace", "bucket").parquet(path))
 
 
+def has_table(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def only_partitions(vectors: DataFrame, touched: DataFrame, most: int = 4096) -> DataFrame:
+    """Rows of the (namespace, bucket) pairs ``touched``. Up to ``most`` different names and buckets also
+    stand in the filter as literals, which keeps the other partitions from being listed and read."""
+    for name in ("namespace", "bucket"):
+        values = [r[0] for r in touched.select(name).distinct().limit(most + 1).collect()]
+        if len(values) <= most:
+            vectors = vectors.where(F.col(name).isin(values))
+    return vectors.join(touched, ["namespace", "bucket"], "left_semi")
+
+
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     # Names such as '007' must not be read back as numbers.
     kinds = {"namespace": T.StringType(), "bucket": T.IntegerType()}

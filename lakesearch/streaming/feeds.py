@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakesearch.operators.changes import resolve_commit_range
@@ -46,7 +46,8 @@ def parse_errors(lines: DataFrame) -> DataFrame:
 
 
 def stream_error_counts(errors: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Errors per operation and tumbling window; a window is given out once it is closed."""
+    """Errors per operation and tumbling window. In update mode (``write_updates``) a window is given out
+    whenever it has changed, the last ones included; in append mode once it is closed."""
     return (errors.withWatermark("ts", delay).groupBy(F.window("ts", window).alias("w"), "operation")
             .agg(F.count(F.lit(1)).alias("errors"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "operation", "errors"))
@@ -56,3 +57,20 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Run a stream over what its source holds now, into Parquet files."""
     (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start(path).awaitTermination())
+
+
+def write_updates(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Run an aggregating stream over what its source holds now; each micro-batch writes the rows
+    that it changed into a folder of its own, so a batch replayed after a failure replaces itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    (stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def read_updates(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
+    """The last state of each ``key`` among the updates below ``path``."""
+    rows = spark.read.parquet(path)
+    last = F.max_by(F.struct(*[c for c in rows.columns if c not in (*key, "batch")]), "batch")
+    return rows.groupBy(*key).agg(last.alias("row")).select(*key, "row.*")

@@ -32,7 +32,8 @@ def test_restore(spark, tmp_path):
          ("d", [1.0], "n", "org/s", "d.py", "c0", "kept", 1, True)],
         "id string, embedding array<float>, namespace string, repo_name string, file_path string, commit_sha string, "
         "content string, line_start int, live boolean")
-    table, report = restore_archive(stored, blobs, sums, "2024-01-02T03:04:05", set_live=True)
+    table, report = restore_archive(stored, blobs, sums, "2024-01-02T03:04:05",
+                                    spark.createDataFrame([("org/r", "c2")], "repo_name string, commit_sha string"))
     rows = {r.id: (r.content, r.commit_sha, r.live, r.restored_at) for r in table.collect()}
     stamp = "2024-01-02T03:04:05"
     assert rows == {"a": ("a", "c2", True, stamp), "b": ("b", "c2", True, stamp), "c": ("c", "c2", True, stamp),

@@ -98,3 +98,58 @@ def test_error_log_round_trip(spark):
 def test_undecodable_bytes_are_dropped(spark):
     rows = spark.createDataFrame([(b"ab\xff\xfec\xc3\xa9",)], "content binary")
     assert rows.select(decode_lossy(rows.content)).first()[0] == "abcé"
+
+
+def test_first_sync_makes_a_table_that_searches_read(spark, tmp_path):
+    """Files on disk to a new table, then every strategy over it."""
+    from pyspark.sql import functions as F
+
+    from lakesearch.functions.identity import hash_embedding
+    from lakesearch.operators import retrieval as R
+    from lakesearch.plans.search import agentic_search
+    from lakesearch.sources.files import read_files
+
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "app.py").write_text("class Widget:\n    def build_widget(self):\n        if self:\n            return 1\n")
+    (tmp_path / "readme.md").write_text("# Title\n\nAbout the widget.\n")
+    files = read_files(spark, str(tmp_path), "org/r")
+    assert {r.file_path for r in files.collect()} == {"src/app.py", "readme.md"}
+    changes = parse_name_status(spark.createDataFrame([("org/r", 0, "A\tsrc/app.py"), ("org/r", 1, "A\treadme.md")],
+                                                      "repo_name string, seq int, line string"))
+    path = work_path(spark, "new")
+    S.apply_sync_to_table(path, S.prepare_sync(changes, files), 4)
+    vectors = read_vectors(spark, path)
+    rows = {r.file_path: r for r in vectors.collect()}
+    assert rows["src/app.py"].function_names == ["build_widget"] and rows["src/app.py"].class_names == ["Widget"]
+    assert rows["src/app.py"].code_complexity == 0.1 and rows["readme.md"].live
+    embed = lambda text: lambda frame: frame.withColumn("qvec", hash_embedding(F.col(text)))
+    requests = spark.createDataFrame([(1, "find class Widget and function build_widget", "org/r"), (2, "Where is src/app.py located", None)],
+                                     "query_id int, query string, repo string").withColumn("repositories", F.lit(None).cast("array<string>"))
+    profiles = spark.createDataFrame([("org/r", ["widget", "class"], [".py", ".md"], ["src"])],
+                                     "namespace string, keywords array<string>, file_types array<string>, structure_clues array<string>")
+    mapping = spark.createDataFrame([], "repo_name string, namespace string")
+    found = agentic_search(requests, vectors, profiles, mapping, embed("probe_text"), embed("query")).collect()
+    assert {(r.query_id, r.file_path) for r in found} >= {(1, "src/app.py"), (2, "src/app.py")}
+    assert "direct_entity_search" in {r.strategy for r in found} or len({r.strategy for r in found}) > 1
+    live = R.search_live(vectors, requests.select("query_id", F.lit("org/r").alias("namespace"), hash_embedding(F.col("query")).alias("qvec")), live=True)
+    assert live.where("query_id = 1").count() == 2
+
+
+def test_push_reads_only_the_partitions_it_touches(spark, table):
+    from lakesearch.sources.vector_table import only_partitions
+    touched = spark.createDataFrame([(REPO, 1)], "namespace string, bucket int")
+    plan = only_partitions(read_vectors(spark, table), touched)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert f"(namespace#" in filters and "= 007)" in filters and "= 1)" in filters
+
+
+def test_repositories_named_or_not(spark):
+    from lakesearch.operators.retrieval import resolve_namespaces
+    vectors = spark.createDataFrame([("n1",), ("n2",)], "namespace string")
+    mapping = spark.createDataFrame([("org/a", "n1")], "repo_name string, namespace string")
+    requests = spark.createDataFrame([(1, None, None), (2, ["org/a", "org/b"], None), (3, [""], None), (4, [], "org/a"), (5, [" "], "org/a")],
+                                     "query_id int, repositories array<string>, repo string")
+    got = {}
+    for r in resolve_namespaces(requests, vectors, mapping, ["home"]).orderBy("query_id", "namespace_ord").collect():
+        got.setdefault(r.query_id, []).append(r.namespace)
+    assert got == {1: ["n1", "n2"], 2: ["n1", "org/b"], 3: ["home"], 4: ["n1"], 5: ["home"]}
