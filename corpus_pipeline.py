@@ -56,8 +56,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digests of each document's token ids, and of the text they decode to."""
-    vocabulary = multi_vocabulary()
-    return digests(encode(docs, vocabulary), vocabulary)
+    return digests(encode(docs, multi_vocabulary(), decoded=True))
 
 
 STAGES = [

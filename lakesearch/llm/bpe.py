@@ -1,25 +1,21 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
+"""Byte-level BPE encoding and decoding.
 
 A text is cut into pieces by the tokenizer's pattern. A piece that is a token is its own
-code; any other is a byte array over which ``aggregate`` folds the merges, one at a time:
-the neighbouring pair of the lowest rank, leftmost first, looked up in a literal map of
-ranks. Byte strings are held as hexadecimal text, which Spark can compare, join and use as
-map keys. Decoding looks the byte string of each id up in a literal array and concatenates.
+code; any other is a byte array whose neighbouring pairs are merged, the pair of the lowest
+rank and of those the leftmost first, until no pair has a rank. Decoding concatenates the byte strings
+of the ids.
 
-The fold is the costly part, so it runs once for each of the corpus's frequent distinct
-pieces; their ids travel as a second literal map. That map is only a memory: a piece
-outside of it is folded where it occurs, with the same result, so its bound, ``memory``,
-changes no id. It is filled by count of all documents: of the powers of two the lowest count that no more
-than ``memory`` pieces reach.
+``encode_native`` folds the merges with Spark's higher-order functions, over byte strings
+held as hexadecimal text and a literal map of ranks. It is exact, but its lambdas are
+interpreted and it cannot remember a piece from one row to the next, and so stays above the
+limits (README). ``encode`` and ``decode`` do the same row by row in Python: each distinct piece is merged
+once per worker and then looked up. No row leaves its partition.
 
-The fold's steps times its width grow with the square of a piece's length. Texts with a run of
-over ``LONG_RUN`` characters of one class therefore take the row-wise form at the end of
-this module, which merges with a heap.
+Ids of a text are held as decimal numbers joined by commas; ``ids_array`` gives them as numbers.
 
-Literal maps are arrays of small maps, found by CRC-32 of the key, as Spark searches a map from its start.
-
-Defined cases: a null text is empty; an empty text has no ids and decodes to nothing; equal
-rows are encoded each; an empty table gives an empty result; other columns are ignored, or carried along if named in ``carry``.
+Defined cases: a null text is empty; an empty text has no ids and decodes to nothing; pieces of any length are
+merged with a heap, in n log n steps; equal rows are encoded each; an empty table gives an empty result; other columns are
+ignored, or carried along if named in ``carry``.
 """
 
 from __future__ import annotations
@@ -28,7 +24,6 @@ import base64
 import heapq
 import json
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -38,12 +33,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakesearch.functions.text import let
 from lakesearch.llm.common import document_columns, table
-from lakesearch.session import staged
 
-MEMORY = 1 << 17
-MEMORY_PIECE_BYTES = 48
+REMEMBERED_PIECES = 1 << 19
+SLICE_ROWS = 256
+SHORT_PIECE = 48
 SHARDS = 1 << 14
-LONG_RUN = 400
 NO_RANK = 2**31 - 1
 
 
@@ -51,6 +45,7 @@ class Vocabulary:
     """Ranks of a tiktoken file, and the pattern that goes with it."""
 
     def __init__(self, path: str, pattern: str):
+        self.name = path
         lines = [line.split() for line in Path(path).read_bytes().splitlines() if line]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.pattern = pattern
@@ -66,11 +61,6 @@ class Vocabulary:
     def _spaced(self, blank: str, other: str) -> str:
         return self.pattern.replace(r"\s", blank).replace(r"\S", other)
 
-    def long_run(self) -> str:
-        """Matches a text that may hold a piece of more than ``LONG_RUN`` characters."""
-        blank, n = r"\p{IsWhite_Space}", "{%d}" % LONG_RUN
-        return rf"\p{{L}}{n}|\p{{N}}{n}|{blank}{n}|[^{blank}\p{{L}}\p{{N}}]{n}"
-
     def pieces(self) -> list[str]:
         """Hexadecimal byte string of each id, '' where there is none."""
         out = [""] * (max(self.ranks.values(), default=-1) + 1)
@@ -112,43 +102,14 @@ def fold_merges(piece: Column, ranks: Column) -> Column:
     return F.coalesce(_find(ranks, whole).cast("string"), ids)
 
 
-def cut(text: Column, vocabulary: Vocabulary) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(vocabulary.in_java()), F.lit(0))
-
-
-def piece_memory(docs: DataFrame, vocabulary: Vocabulary, ranks: Column, memory: int = MEMORY) -> dict[str, str]:
-    """Ids of the frequent distinct pieces, ``memory`` at most."""
-    counts = staged(docs.select(F.explode(cut(F.col("text"), vocabulary)).alias("piece"))
-                    .groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-                    .where((F.col("n") > 1) & (F.octet_length("piece") <= MEMORY_PIECE_BYTES)), "pieces")
-    power = F.floor(F.log2(F.col("n"))).cast("int")
-    floor, held = None, 0
-    for row in counts.groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect():  # 63 rows at most
-        held += row["count"]
-        if held > memory:
-            break
-        floor = 1 << row["power"]
-    if floor is None:
-        return {}
-    frequent = staged(counts.where(F.col("n") >= floor).select("piece").repartition("piece")
-                      .select("piece", fold_merges(F.col("piece"), ranks).alias("ids")), "memory")
-    got = frequent.toArrow()
-    return dict(zip(got["piece"].to_pylist(), got["ids"].to_pylist()))
-
-
-def encode(docs: DataFrame, vocabulary: Vocabulary, memory: int = MEMORY, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, ids) and the ``carry`` columns; ``ids`` are decimal numbers joined by commas."""
-    plain = document_columns(docs) if not carry else docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+def encode_native(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, ids) in DataFrame operations only; steps grow with the square of a piece's length."""
     ranks = _sharded({token.hex().upper(): rank for token, rank in vocabulary.ranks.items()}, "int")
-    has_long = F.coalesce(F.col("text").rlike(vocabulary.long_run()), F.lit(False))
-    usual = plain.where(~has_long)
-    known = _sharded(piece_memory(usual, vocabulary, ranks, memory), "string")
-    ids = F.array_join(F.transform(cut(F.col("text"), vocabulary), lambda p: F.coalesce(_find(known, p), fold_merges(p, ranks))), ",")
-    return usual.select("doc_id", ids.alias("ids"), *carry).unionByName(encode_long(plain.where(has_long), vocabulary, carry))
+    pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(vocabulary.in_java()), F.lit(0))
+    return document_columns(docs).select("doc_id", F.array_join(F.transform(pieces, lambda p: fold_merges(p, ranks)), ",").alias("ids"))
 
 
-def decode(ids: Column, vocabulary: Vocabulary) -> Column:
+def decode_native(ids: Column, vocabulary: Vocabulary) -> Column:
     """Bytes of ids joined by commas."""
     pieces = _literal(vocabulary.pieces(), "array<string>")
     parts = F.transform(F.split(ids, ","), lambda i: F.element_at(pieces, i.cast("int") + 1))
@@ -186,25 +147,105 @@ def merge_with_heap(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def encode_long(docs: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...] = ()) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.ranks)
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges for a short piece, where a plain search for the least rank is quicker."""
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    pairs = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        low = min(pairs)
+        if low == NO_RANK:
+            break
+        at = pairs.index(low)
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], NO_RANK)
+        if at < len(pairs):
+            pairs[at] = ranks.get(parts[at] + parts[at + 1], NO_RANK)
+    return [ranks[p] for p in parts]
+
+
+class PieceMemory(dict):
+    """Ids of each piece, as text; forgets everything when it holds ``REMEMBERED_PIECES``."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, piece: str) -> str:
+        if len(self) >= REMEMBERED_PIECES:
+            self.clear()
+        data = piece.encode()
+        rank = self.ranks.get(data)
+        if rank is not None:
+            ids = [rank]
+        else:
+            ids = (merge_short if len(data) <= SHORT_PIECE else merge_with_heap)(data, self.ranks)
+        text = self[piece] = ",".join(map(str, ids))
+        return text
+
+
+#: One memory per worker and vocabulary, kept from task to task.
+_MEMORIES: dict[str, PieceMemory] = {}
+
+
+def _memory(name: str, shared) -> PieceMemory:
+    if name not in _MEMORIES:
+        _MEMORIES.clear()
+        _MEMORIES[name] = PieceMemory(shared.value)
+    return _MEMORIES[name]
+
+
+def bytes_of(ids: str, token) -> bytes:
+    """Byte strings of ids joined by commas, concatenated; ``token`` gives that of one id."""
+    return b"".join(map(token, ids.split(","))) if ids else b""
+
+
+def _names_of_ids(vocabulary: Vocabulary) -> dict[str, bytes]:
+    return {str(rank): token for token, rank in vocabulary.ranks.items()}
+
+
+def _kinds(columns: DataFrame) -> str:
+    return "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in columns.schema.fields)
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) and the ``carry`` columns; with ``decoded`` also the bytes that the ids decode
+    to, as ``decode`` gives them, in the same pass."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    shared, name = docs.sparkSession.sparkContext.broadcast(vocabulary.ranks), vocabulary.name
+    back = docs.sparkSession.sparkContext.broadcast(_names_of_ids(vocabulary)) if decoded else None
     pattern = vocabulary.in_python()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, ranks = regex.compile(pattern).findall, shared.value
+        find, ids_of = regex.compile(pattern).findall, _memory(name, shared).__getitem__
         for batch in batches:
-            known: dict[str, str] = defaultdict(str)
-            texts = []
-            for text in batch.column("text").to_pylist():
-                found = find(text or "")
-                for piece in set(found) - known.keys():
-                    known[piece] = ",".join(map(str, merge_with_heap(piece.encode(), ranks)))
-                texts.append(",".join(map(known.__getitem__, found)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), *(batch.column(c) for c in carry)],
-                                             names=["doc_id", "ids", *carry])
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                ids = [",".join(map(ids_of, find(t or ""))) for t in part.column("text").to_pylist()]
+                columns = {"doc_id": part.column("doc_id"), "ids": pa.array(ids, pa.string())}
+                if decoded:
+                    columns["decoded"] = pa.array([bytes_of(i, back.value.__getitem__) for i in ids], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns | {c: part.column(c) for c in carry})
+
+    return plain.mapInArrow(run, "doc_id long, ids string" + ", decoded binary" * decoded + _kinds(plain.select(*carry)))
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Add ``decoded``, the bytes of ``ids``; an id that is no token fails the task."""
+    back = encoded.sparkSession.sparkContext.broadcast(_names_of_ids(vocabulary))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                yield part.append_column("decoded", pa.array([bytes_of(i, back.value.__getitem__) for i in part.column("ids").to_pylist()], pa.binary()))
+
+    return encoded.mapInArrow(run, _kinds(encoded)[2:] + ", decoded binary")
+
 
-    extra = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema.fields) if carry else ""
-    return docs.mapInArrow(run, "doc_id long, ids string" + extra)
+def ids_array(ids: Column) -> Column:
+    return F.when(ids == "", F.array().cast("array<int>")).otherwise(F.split(ids, ",").cast("array<int>"))
 
 
 def count_ids(ids: Column) -> Column:
@@ -217,11 +258,11 @@ def multi_vocabulary() -> Vocabulary:
     return Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-def digests(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def digests(encoded: DataFrame) -> DataFrame:
+    """Digests of (doc_id, ids, decoded)."""
     return encoded.select("doc_id", count_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2(decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"))
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = multi_vocabulary()
-    return digests(encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return digests(encode(table(spark, sf_dir, "documents"), multi_vocabulary(), decoded=True))

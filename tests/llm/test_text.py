@@ -36,7 +36,7 @@ def test_encoding_is_that_of_the_tokenizer(spark, vocabulary, reference):
 
 
 def test_digests(spark, vocabulary, reference):
-    rows = bpe.digests(bpe.encode(spark.createDataFrame(list(enumerate(ODD)), SCHEMA), vocabulary), vocabulary).collect()
+    rows = bpe.digests(bpe.encode(spark.createDataFrame(list(enumerate(ODD)), SCHEMA), vocabulary, decoded=True)).collect()
     for r in rows:
         ids = reference(ODD[r.doc_id] or "")
         assert (r.n_tokens, r.ids_sha256) == (len(ids), brute.sha(",".join(map(str, ids))))
