@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lakesearch.functions.text import base_name, contains_any, count_tokens, is_blank, let, lines_of, strip
+from lakesearch.functions.text import SPACES, base_name, contains_any, count_tokens, is_blank, let, lines_of, strip
 
 # Fixed values of the chunkers.
 CODE_LINES, CODE_OVERLAP, CODE_CHARS = 50, 15, 2000
@@ -119,7 +119,7 @@ def json_chunks(text: Column) -> Column:
 
 
 def sentences_of(text: Column) -> Column:
-    return F.split(text, r"(?<=[.!?])\s+", -1)
+    return F.split(text, r"(?U)(?<=[.!?])\s+", -1)
 
 
 def sentence_chunks(text: Column, size: int = SENTENCE_TOKENS, overlap: int = SENTENCE_OVERLAP) -> Column:
@@ -133,7 +133,7 @@ def sentence_chunks(text: Column, size: int = SENTENCE_TOKENS, overlap: int = SE
                                lambda i: F.array_join(F.slice(words, i * size + 1, size), " "))
 
         return F.when(count_tokens(sentence) <= size, F.array(sentence)) \
-            .otherwise(let(F.split(strip(sentence), r"\s+"), pieces))
+            .otherwise(let(F.split(strip(sentence), SPACES), pieces))
 
     state = F.expr("named_struct('i', 0, 'first', 0, 'used', 0, "
                    "'spans', cast(array() as array<struct<first: int, last: int>>))")
@@ -192,7 +192,7 @@ def rechunk_oversize(sections: Column, max_tokens: int = MAX_TOKENS) -> Column:
     keeps only its last 3000.
     """
     def cut(pack: Column) -> Column:
-        pieces = F.regexp_extract_all(pack, F.lit(rf"(?d).{{1,{PIECE_CHARS}}}(?:\s+|$)"), F.lit(0))
+        pieces = F.regexp_extract_all(pack, F.lit(rf"(?dU).{{1,{PIECE_CHARS}}}(?:\s+|$)"), F.lit(0))
         return F.when(count_tokens(pack) <= max_tokens, F.array(pack)) \
             .otherwise(F.filter(F.transform(pieces, strip), lambda p: p != ""))
 

@@ -5,7 +5,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-BLANKS = " \t\n\r\f\x0b"
+# White space as Unicode has it, in lists and in patterns.
+BLANKS = " \t\n\r\f\x0b\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+SPACES = r"(?U)\s+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -31,7 +33,7 @@ def lines_of(text: Column) -> Column:
 
 def count_tokens(text: Column) -> Column:
     """Whitespace-separated words, the count used when no BPE tokenizer is plugged in."""
-    return F.regexp_count(text, F.lit(r"\S+"))
+    return F.regexp_count(text, F.lit(r"(?U)\S+"))
 
 
 def token_counter(load_tokenizer: Callable[[], Callable[[str], list]]) -> Callable[[Column], Column]:
