@@ -64,6 +64,7 @@ def parse_file_tokens(feed: DataFrame, token: str = "token",
     return changes, errors
 
 
+# Fixed value: a submodule line of a diff.
 SUBMODULE_LINE = r"^Submodule\s+([^\s]+)\s+([0-9a-f]{7,})\.\.([0-9a-f]{7,})"
 
 
@@ -136,23 +137,27 @@ def expand_submodules(pointers: DataFrame, trees: DataFrame) -> DataFrame:
     """File changes below moved submodule pointers, paths prefixed with the submodule path.
 
     ``pointers``: (sub_path, old_sha, new_sha, change); ``trees``: (sub_path, sha, path,
-    blob). An added pointer lists every file of the new tree, a deleted one every file of
+    blob); both with ``repo_name``, the superproject, where there are several. An added pointer lists every file of the new tree, a deleted one every file of
     the old tree, a changed one the file-level difference with renames expanded.
     """
+    owner = ["repo_name", "sub_path"] if "repo_name" in pointers.columns else ["sub_path"]
+
     def files(sha: str, kinds: list[str]) -> DataFrame:
-        wanted = pointers.where(F.col("change").isin(kinds)).select("sub_path", F.col(sha).alias("sha")).distinct()
-        return trees.join(wanted, ["sub_path", "sha"])
-
-    added = files("new_sha", ["added"]).select("sub_path", "path", F.lit("A").alias("status"))
-    deleted = files("old_sha", ["deleted"]).select("sub_path", "path", F.lit("D").alias("status"))
-    moved = pointers.where("change = 'changed'").select("sub_path", "old_sha", "new_sha").distinct()
-    key = F.concat_ws("\x01", "sub_path", "old_sha", "new_sha")
-    sides = [trees.join(moved.withColumn("repo_name", key).withColumn("sha", F.col(sha)), ["sub_path", "sha"])
-             .select("repo_name", "path", "blob") for sha in ("old_sha", "new_sha")]
+        wanted = pointers.where(F.col("change").isin(kinds)).select(*owner, F.col(sha).alias("sha")).distinct()
+        return trees.join(wanted, [*owner, "sha"])
+
+    added = files("new_sha", ["added"]).select(*owner, "path", F.lit("A").alias("status"))
+    deleted = files("old_sha", ["deleted"]).select(*owner, "path", F.lit("D").alias("status"))
+    moved = pointers.where("change = 'changed'").select(*owner, "old_sha", "new_sha").distinct()
+    key = F.concat_ws("\x01", *owner, "old_sha", "new_sha")
+    sides = [trees.join(moved.withColumn("of", key).withColumn("sha", F.col(sha)), [*owner, "sha"])
+             .select(F.col("of").alias("repo_name"), "path", "blob") for sha in ("old_sha", "new_sha")]
+    parts = F.split("repo_name", "\x01")
     changed = (detect_renames(snapshot_diff(*sides))
-               .select(F.substring_index("repo_name", "\x01", 1).alias("sub_path"), "path", "status"))
+               .select(*[parts[i].alias(f"of_{c}") for i, c in enumerate(owner)], "path", "status")
+               .withColumnsRenamed({f"of_{c}": c for c in owner}))
     rows = added.unionByName(deleted).unionByName(changed)
-    return rows.select("sub_path", F.concat_ws("/", "sub_path", "path").alias("path"), "status")
+    return rows.select(*owner, F.concat_ws("/", "sub_path", "path").alias("path"), "status")
 
 
 NO_COMMIT = "0" * 40
@@ -197,7 +202,8 @@ def build_sync_plan(changes: DataFrame, files: DataFrame) -> DataFrame:
 
     ``files`` needs (repo_name, file_path). Renames not yet expanded are dropped.
     """
-    present = files.select("repo_name", F.col("file_path").alias("path"), F.lit(True).alias("present")).distinct()
+    named = files.select("repo_name", F.col("file_path").alias("path"))
+    present = named.join(changes.select("repo_name", "path"), ["repo_name", "path"], "left_semi").distinct().withColumn("present", F.lit(True))
     status, found = F.col("status"), F.coalesce("present", F.lit(False))
     return (changes.where(~status.startswith("R")).join(present, ["repo_name", "path"], "left")
             .select("repo_name", "seq", "status", "path",

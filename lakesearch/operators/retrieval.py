@@ -138,6 +138,10 @@ def search_basic(vectors: DataFrame, requests: DataFrame, k: int = 5) -> DataFra
 CLASS_WORDS = {"example": ["example", "demo", "usage", "how to"],
                "debugging": ["error", "fix", "debug", "issue"],
                "implementation": ["implement", "create", "build"]}
+# Confidence and number of results of each strategy, and the boosts of their ranks.
+CONFIDENCE = {DIRECT: 0.9, CONTEXTUAL: 0.8, SEMANTIC: 0.7, FILES: 0.95}
+RESULTS = {DIRECT: 3, CONTEXTUAL: 5, SEMANTIC: 7, FILES: 3}
+DIRECT_BOOST, FILES_BOOST = 1.5, 1.4
 FILE_INDICATORS = [".py", ".js", ".html", ".css", ".md", ".json"]
 
 
@@ -175,20 +179,20 @@ def strategy_probes(analysis: DataFrame, profiles: DataFrame) -> DataFrame:
     """
     rows = file_patterns(contextual_keywords(analysis.join(profiles, "namespace", "left")))
 
-    def strategy(name: str, order: int, confidence: float, k: int, need: Column, terms: Column) -> Column:
+    def strategy(name: str, order: int, need: Column, terms: Column) -> Column:
         return F.struct(F.lit(name).alias("strategy"), F.lit(order).alias("strategy_ord"),
-                        F.lit(confidence).alias("confidence"), F.lit(k).alias("k"),
+                        F.lit(CONFIDENCE[name]).alias("confidence"), F.lit(RESULTS[name]).alias("k"),
                         need.alias("need"), terms.alias("terms"))
 
     band = (F.when(F.col("complexity") == "simple", LOW_COMPLEXITY)
             .when(F.col("complexity") == "complex", HIGH_COMPLEXITY).otherwise(0))
     once = F.lit(None).cast("array<string>")
     plan = F.array_compact(F.array(
-        F.when(F.size("specific_targets") > 0, strategy(DIRECT, 0, 0.9, 3, F.lit(0), F.col("specific_targets"))),
-        F.when(F.size("contextual_keywords") > 0, strategy(CONTEXTUAL, 1, 0.8, 5, F.lit(TYPE_OK), once)),
-        strategy(SEMANTIC, 2, 0.7, 7, band + TYPE_OK, once),
+        F.when(F.size("specific_targets") > 0, strategy(DIRECT, 0, F.lit(0), F.col("specific_targets"))),
+        F.when(F.size("contextual_keywords") > 0, strategy(CONTEXTUAL, 1, F.lit(TYPE_OK), once)),
+        strategy(SEMANTIC, 2, band + TYPE_OK, once),
         F.when(F.col("query_type") == "file_search",
-               strategy(FILES, 3, 0.95, 3, F.lit(0), F.col("file_patterns")))))
+               strategy(FILES, 3, F.lit(0), F.col("file_patterns")))))
     return rows.drop("confidence").select("*", F.inline(plan))
 
 
@@ -354,9 +358,9 @@ def dedupe_first_seen(matches: DataFrame, include_namespace: bool = False) -> Da
 def boosted_rank(matches: DataFrame) -> DataFrame:
     """score × confidence, raised for direct hits and for file hits of file questions."""
     score, confidence = F.col("score"), F.coalesce("confidence", F.lit(0.5))
-    rank_score = (F.when(F.col("strategy") == DIRECT, score * 1.5 * confidence)
+    rank_score = (F.when(F.col("strategy") == DIRECT, score * DIRECT_BOOST * confidence)
                   .when((F.col("query_type") == "file_search") & (F.col("strategy") == FILES),
-                        score * 1.4 * confidence)
+                        score * FILES_BOOST * confidence)
                   .otherwise(score * confidence))
     return matches.withColumn("rank_score", rank_score)
 
