@@ -9,7 +9,7 @@ of the ids.
 held as hexadecimal text and a literal map of ranks. It is exact, but its lambdas are
 interpreted and it cannot remember a piece from one row to the next, and so stays above the
 limits (README). ``encode`` and ``decode`` do the same row by row in Python: each distinct piece is merged
-once per worker and then looked up. No row leaves its partition.
+once per task and then looked up. No row leaves its partition.
 
 Ids of a text are held as decimal numbers joined by commas; ``ids_array`` gives them as numbers.
 
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lakesearch.functions.text import let
 from lakesearch.llm.common import document_columns, table
 
-REMEMBERED_PIECES = 1 << 19
+REMEMBERED_PIECES = 1 << 18
 SLICE_ROWS = 256
 SHORT_PIECE = 48
 SHARDS = 1 << 14
@@ -45,7 +45,6 @@ class Vocabulary:
     """Ranks of a tiktoken file, and the pattern that goes with it."""
 
     def __init__(self, path: str, pattern: str):
-        self.name = path
         lines = [line.split() for line in Path(path).read_bytes().splitlines() if line]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.pattern = pattern
@@ -185,17 +184,6 @@ class PieceMemory(dict):
         return text
 
 
-#: One memory per worker and vocabulary, kept from task to task.
-_MEMORIES: dict[str, PieceMemory] = {}
-
-
-def _memory(name: str, shared) -> PieceMemory:
-    if name not in _MEMORIES:
-        _MEMORIES.clear()
-        _MEMORIES[name] = PieceMemory(shared.value)
-    return _MEMORIES[name]
-
-
 def bytes_of(ids: str, token) -> bytes:
     """Byte strings of ids joined by commas, concatenated; ``token`` gives that of one id."""
     return b"".join(map(token, ids.split(","))) if ids else b""
@@ -213,12 +201,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...] = (),
     """(doc_id, ids) and the ``carry`` columns; with ``decoded`` also the bytes that the ids decode
     to, as ``decode`` gives them, in the same pass."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
-    shared, name = docs.sparkSession.sparkContext.broadcast(vocabulary.ranks), vocabulary.name
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.ranks)
     back = docs.sparkSession.sparkContext.broadcast(_names_of_ids(vocabulary)) if decoded else None
     pattern = vocabulary.in_python()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, ids_of = regex.compile(pattern).findall, _memory(name, shared).__getitem__
+        find, ids_of = regex.compile(pattern).findall, PieceMemory(shared.value).__getitem__
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)

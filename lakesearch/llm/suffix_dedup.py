@@ -37,7 +37,7 @@ from lakesearch.session import staged
 WIDTH = 50
 GRAM = 20
 SHALLOW = 16
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 SLAB = 1 << 19
 LAST = np.iinfo(np.int64).max
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 18
 _U = np.uint64
 
 
