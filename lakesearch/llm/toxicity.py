@@ -7,7 +7,8 @@ rows of edit distances, so that a misspelled term is found with one edit without
 misspellings. Before, a word must share the first or second half of a term, which one edit cannot both
 break.
 
-A term near to which clean texts have words is only searched as it is spelled. A misspelled term counts like a
+Misspellings are searched of the ``FUZZY_TERMS`` terms with the most evidence, but for those
+near to which clean texts have words. A misspelled term counts like a
 term at first; what labels say of it corrects that.
 
 A window of words around a hit tells quotation from abuse: quotation marks that enclose
@@ -45,9 +46,10 @@ MIN_ODDS = 2.5
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 STEM_WORDS = 5
 FUZZY_LENGTH = 5
+FUZZY_TERMS = 64
 WINDOW = 6
 THRESHOLD = 0.3
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 18
 
 #: Signs and words that the context window looks for.
 QUOTES = "\"'“”„«»‘’`"
@@ -78,9 +80,10 @@ class Lexicon:
         self.stems, self.words = stems, words
         self.lengths = sorted({len(s) for s in stems})
         fuzzy = [w for w in words if len(w) >= FUZZY_LENGTH and w not in strict]
-        self.heads = {w[:len(w) // 2] for w in fuzzy}
-        self.tails = {w[len(w) // 2:] for w in fuzzy}
-        self.head_sizes, self.tail_sizes = sorted({len(h) for h in self.heads}), sorted({len(t) for t in self.tails})
+        # halves with the lengths of the words they may belong to
+        self.heads = {(w[:len(w) // 2], len(w) + d) for w in fuzzy for d in (-1, 0, 1)}
+        self.tails = {(w[len(w) // 2:], len(w) + d) for w in fuzzy for d in (-1, 0, 1)}
+        self.head_sizes, self.tail_sizes = sorted({len(h) for h, _ in self.heads}), sorted({len(t) for t, _ in self.tails})
 
     def hit(self, word: str) -> tuple[str, float] | None:
         """('word', 'stem' or 'fuzzy', weight) or None."""
@@ -89,7 +92,8 @@ class Lexicon:
         for n in self.lengths:
             if word[:n] in self.stems:
                 return "stem", self.stems[word[:n]]
-        near = any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)
+        size = len(word)
+        near = any((word[:n], size) in self.heads for n in self.head_sizes) or any((word[-n:], size) in self.tails for n in self.tail_sizes)
         term = self.near(word) if near else None
         return None if term is None else ("fuzzy", self.words[term])
 
@@ -228,8 +232,9 @@ def learn_lexicon(texts: DataFrame, size: int = LEXICON) -> Lexicon:
         elif begins[term] >= STEM_WORDS:
             stems[term[:-1]] = weight[term]
     words = {w: x for w, x in words.items() if not any(w.startswith(s) for s in stems)}
-    wrong = _near_counts(texts.where("toxic = 0"), Lexicon(words, stems))
-    return Lexicon(words, stems, frozenset(t for t, n in wrong.items() if n > MAX_NEAR_SHARE * n_clean + 1))
+    strict = frozenset([w for w in words if len(w) >= FUZZY_LENGTH][FUZZY_TERMS:])
+    wrong = _near_counts(texts.where("toxic = 0"), Lexicon(words, stems, strict))
+    return Lexicon(words, stems, strict | {t for t, n in wrong.items() if n > MAX_NEAR_SHARE * n_clean + 1})
 
 
 def _near_counts(texts: DataFrame, lexicon: Lexicon) -> dict[str, int]:
@@ -241,7 +246,11 @@ def _near_counts(texts: DataFrame, lexicon: Lexicon) -> dict[str, int]:
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 words = set(map(bare, set((text or "").lower().split())))
-                for word in words - known.keys():
+                if len(known) >= CACHE_WORDS:
+                    known.clear()
+                for word in words:
+                    if word in known:
+                        continue
                     hit = held.hit(word)
                     known[word] = held.near(word) if hit and hit[0] == "fuzzy" else None
                 counts.update({known[w] for w in words} - {None})
