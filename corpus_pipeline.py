@@ -21,6 +21,9 @@ from lakesearch.llm.quality import quality, trusted_ids
 from lakesearch.llm.suffix_dedup import suffix_dedup
 from lakesearch.session import staged
 
+#: Least similarity of near-duplicates in the pipeline; the registered ``op3_setsketch`` is asked for 85.
+NEAR_PERCENT = 80
+
 
 def _with_row(docs: DataFrame) -> DataFrame:
     """(doc_id, text, row): no column of ``docs`` can clash with those of an operator."""
@@ -33,8 +36,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near-duplicates."""
-    gone = near_components(docs).where("not kept").select("doc_id").distinct()
+    """The document of least id of each group of near-duplicates: similarity ``NEAR_PERCENT`` or more on five-word shingles."""
+    gone = near_components(docs, percent=NEAR_PERCENT).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -86,3 +86,21 @@ def test_stages_keep_the_columns_and_odd_rows(spark):
     empty = spark.createDataFrame([], schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_near_copies_of_four_fifths_go(spark):
+    base = ["word%d" % i for i in range(120)]
+    copies = [base, base[:50] + ["odd"] + base[51:], base[:30] + ["odd", "even"] + base[32:], base[:60] + ["x%d" % i for i in range(60)], ["own%d" % i for i in range(90)]]
+    docs = [(i, " ".join(w)) for i, w in enumerate(copies)]
+    docs += [(10, " ".join(base[:20] + ["odd"] + base[21:70] + ["even"] + base[71:]))]
+    want = {d for d, (_, first) in brute.near(docs, 80).items() if d == first}
+    assert want == {0, 3, 4} and {d for d, (_, first) in brute.near(docs).items() if d == first} != want
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"), SF)
+    assert {r.doc_id for r in got.collect()} == want
+
+
+def test_run_matches_plain_stages_at_four_fifths(spark, monkeypatch):
+    """``test_run_matches_plain_stages`` compares with links from 85 per cent; the stage links from 80."""
+    near = brute.near
+    monkeypatch.setattr(brute, "near", lambda docs, percent=80: near(docs, percent))
+    test_run_matches_plain_stages(spark)
