@@ -7,9 +7,9 @@ rows of edit distances, so that a misspelled term is found with one edit without
 misspellings. Before, a word must share the first or second half of a term, which one edit cannot both
 break.
 
-Misspellings are searched of the ``FUZZY_TERMS`` terms with the most evidence, but for those
+Misspellings are searched of all words of ``FUZZY_LENGTH`` letters or more, but for those
 near to which clean texts have words. A misspelled term counts like a
-term at first; what labels say of it corrects that.
+term at first; what labels say of it corrects that. Stems, and words that begin with one, are met as they are spelled.
 
 A window of words around a hit tells quotation from abuse: quotation marks that enclose
 it, words of report, and direct address. The hits of a document, by kind, and their share of its words are the features of a
@@ -46,7 +46,6 @@ MIN_ODDS = 2.5
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 STEM_WORDS = 5
 FUZZY_LENGTH = 5
-FUZZY_TERMS = 64
 WINDOW = 6
 THRESHOLD = 0.3
 CACHE_WORDS = 1 << 18
@@ -232,9 +231,8 @@ def learn_lexicon(texts: DataFrame, size: int = LEXICON) -> Lexicon:
         elif begins[term] >= STEM_WORDS:
             stems[term[:-1]] = weight[term]
     words = {w: x for w, x in words.items() if not any(w.startswith(s) for s in stems)}
-    strict = frozenset([w for w in words if len(w) >= FUZZY_LENGTH][FUZZY_TERMS:])
-    wrong = _near_counts(texts.where("toxic = 0"), Lexicon(words, stems, strict))
-    return Lexicon(words, stems, strict | {t for t, n in wrong.items() if n > MAX_NEAR_SHARE * n_clean + 1})
+    wrong = _near_counts(texts.where("toxic = 0"), Lexicon(words, stems))
+    return Lexicon(words, stems, frozenset(t for t, n in wrong.items() if n > MAX_NEAR_SHARE * n_clean + 1))
 
 
 def _near_counts(texts: DataFrame, lexicon: Lexicon) -> dict[str, int]:

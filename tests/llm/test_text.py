@@ -160,6 +160,15 @@ def test_toxicity_learns_and_catches_misspellings(spark):
     assert got[1002].score == got[1003].score == got[1004].score < 0.3
 
 
+def test_misspellings_of_every_word_are_searched(spark):
+    rng = random.Random(3)
+    bad = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(100)]
+    rows = [(f"{rng.choice(['river', 'house'])} {bad[i % 100]} t{i}", 1) for i in range(400)] + [(f"river house stone c{i}", 0) for i in range(1600)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(bad) <= lexicon.words.keys()
+    assert {lexicon.hit(w[:4] + w[5:])[0] for w in bad} == {lexicon.hit(w + "x")[0] for w in bad} == {"fuzzy"}
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, _ = toxic_docs(10)
     none = spark.createDataFrame([], "doc_id long, toxic int")
