@@ -7,6 +7,9 @@ the chunks sent, and answers each with one bit a cell: touched at least twice in
 key whose cells in all ``ROWS`` rows are touched twice is estimated as repeated. Counts only err
 upwards, so no repeated key is lost.
 
+A chunk may also tell how often its keys touch some cells of the first row; a block adds these counts up and
+tells the chunks which cells are crowded. Keys of crowded cells are the same in all chunks.
+
 Cells are at least as many as bytes of text, so a row's load stays below one key in four
 cells at every size, and a task holds one block or one chunk.
 """
@@ -24,7 +27,8 @@ BLOCK_BITS = 24
 SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 _LOW = 8
 
-#: Cells of a chunk for a block, and the block's answer.
+#: Cells of a chunk for a block, and the block's answer. A row with chunk ``-1 - c`` has counts (uint32) in ``twice``, from
+#: chunk c; an answer with block ``-1 - b`` tells which of the chunk's cells in block b are crowded.
 CELLS = "block int, chunk int, cells binary, twice binary"
 ANSWERS = "chunk int, block int, bits binary"
 
@@ -78,26 +82,65 @@ def sketch_rows(keys: np.ndarray, chunk: int, bits: int) -> pa.Table:
                      "cells": pa.array(cells, pa.binary()), "twice": pa.array(twice, pa.binary())})
 
 
-def merge_block(sent: pa.Table) -> pa.Table:
-    """Sum of what the chunks sent to one block; the answers, as ``ANSWERS``."""
+def crowd_rows(keys: np.ndarray, numbers: np.ndarray, chunk: int, bits: int) -> pa.Table:
+    """How often the chunk's cells are touched by these distinct keys, as ``CELLS``."""
+    blocks, cells, counts = [], [], []
+    touched, which = np.unique(cells_of(keys, 0, bits), return_inverse=True)
+    sums = np.zeros(len(touched), np.int64)
+    np.add.at(sums, which, numbers)
+    for block, part in _by_block(touched, 0, bits):
+        blocks.append(block)
+        cells.append(pack(touched[part] & ((1 << BLOCK_BITS) - 1)))
+        counts.append(sums[part].astype("<u4").tobytes())
+    return pa.table({"block": pa.array(blocks, pa.int32()), "chunk": pa.array([-1 - chunk] * len(blocks), pa.int32()),
+                     "cells": pa.array(cells, pa.binary()), "twice": pa.array(counts, pa.binary())})
+
+
+def merge_block(sent: pa.Table, crowd: int = 0) -> pa.Table:
+    """Sum of what the chunks sent to one block; the answers, as ``ANSWERS``. Cells are crowded
+    that are told to be touched more than ``crowd`` times."""
     block = sent["block"][0].as_py()
+    chunks = np.array(sent["chunk"].to_pylist(), np.int64)
+    told, sent = sent.filter(pa.array(chunks < 0)), sent.filter(pa.array(chunks >= 0))
     counts = np.zeros(1 << BLOCK_BITS, np.uint8)
     chunks = sent["chunk"].to_pylist()
+    crowded = np.zeros(0, np.int64)
+    if told.num_rows:
+        at, which = np.unique(np.concatenate([unpack(c.as_py()) for c in told["cells"]]), return_inverse=True)
+        sums = np.zeros(len(at), np.int64)
+        np.add.at(sums, which, np.concatenate([np.frombuffer(c.as_py(), "<u4") for c in told["twice"]]).astype(np.int64))
+        crowded = at[sums > crowd]
     for cells, twice in zip(sent["cells"], sent["twice"]):
         at = unpack(cells.as_py())
         more = np.unpackbits(np.frombuffer(twice.as_py(), np.uint8))[:len(at)]
         counts[at] = np.minimum(counts[at] + 1 + more, 2)
-    to, bits = [], []
+    to, blocks, bits = [], [], []
     for chunk, cells in zip(chunks, sent["cells"]):
-        repeated = counts[unpack(cells.as_py())] > 1
-        if repeated.any():
-            to.append(chunk)
-            bits.append(np.packbits(repeated).tobytes())
-    return pa.table({"chunk": pa.array(to, pa.int32()), "block": pa.array([block] * len(to), pa.int32()), "bits": pa.array(bits, pa.binary())})
-
-
-def answers(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("block").applyInArrow(merge_block, ANSWERS)
+        at = unpack(cells.as_py())
+        for name, found in ((block, counts[at] > 1), (-1 - block, np.isin(at, crowded) if len(crowded) else np.zeros(0, bool))):
+            if found.any():
+                to.append(chunk)
+                blocks.append(name)
+                bits.append(np.packbits(found).tobytes())
+    return pa.table({"chunk": pa.array(to, pa.int32()), "block": pa.array(blocks, pa.int32()), "bits": pa.array(bits, pa.binary())})
+
+
+def answers(cells: DataFrame, crowd: int = 0) -> DataFrame:
+    def merge(sent: pa.Table) -> pa.Table:
+        return merge_block(sent, crowd)
+
+    return cells.groupBy("block").applyInArrow(merge, ANSWERS)
+
+
+def estimated_crowded(keys: np.ndarray, answered: dict[int, bytes], bits: int) -> np.ndarray:
+    """Which of a chunk's keys touch a crowded cell; ``keys`` are all that the chunk's cells were sent for."""
+    touched, which = np.unique(cells_of(keys, 0, bits), return_inverse=True)
+    crowded = np.zeros(len(touched), bool)
+    for block, part in _by_block(touched, 0, bits):
+        got = answered.get(-1 - block)
+        if got is not None:
+            crowded[part] = np.unpackbits(np.frombuffer(got, np.uint8))[:part.stop - part.start].astype(bool)
+    return crowded[which]
 
 
 def estimated_repeated(keys: np.ndarray, answered: dict[int, bytes], bits: int) -> np.ndarray:

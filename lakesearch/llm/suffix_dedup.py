@@ -14,7 +14,11 @@ same leaf are equal; all but those of the least document are repeats.
 
 Text is shuffled once, by chunk. Whole copies of a text are found first, by MD5, and only
 the one of least id is sorted. Of equal stretches of a chunk one travels, so a passage that a
-third of all documents share is one stretch per chunk.
+third of all documents share is one stretch per chunk. Runs at the edges of such a passage carry each document's
+own bytes, so their stretches differ and their hash may have as many as there are documents. A hash with more than
+``CROWD`` different stretches in all chunks is crowded: its windows travel one by one, of equal ones in a chunk one,
+to the part of their own 50 bytes, where equal windows still meet. Chunks find crowded hashes by telling the sketch how many
+stretches a hash has, unless one, or so few that all chunks together stay below half of ``CROWD``.
 
 Defined cases: a null text is empty; texts shorter than ``width`` lose nothing; rows without id count as larger
 than all ids and lose nothing to each other; rows of equal id lose nothing to each other; an empty table gives an
@@ -27,10 +31,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakesearch.llm.common import chunked, table
-from lakesearch.llm.sketch import ANSWERS, CELLS, answers, estimated_repeated, sketch_bits, sketch_rows
+from lakesearch.llm.sketch import ANSWERS, CELLS, answers, crowd_rows, estimated_crowded, estimated_repeated, sketch_bits, sketch_rows
 from lakesearch.llm.words import mixed, window_hashes
 from lakesearch.session import staged
 
@@ -38,6 +43,7 @@ WIDTH = 50
 GRAM = 20
 SHALLOW = 16
 CHUNK_BYTES = 4 << 20
+CROWD = 1 << 14
 SLAB = 1 << 19
 LAST = np.iinfo(np.int64).max
 
@@ -108,11 +114,38 @@ class _Chunk:
         first, end, of = first[inside], end[inside], of[inside]
         return np.array(used, np.int64)[of], first - begin[of], end - begin[of], least[first]
 
+    def crowds(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, numbers) of the hashes with more than ``least`` different stretches."""
+        values, which, n = np.unique(self.value, return_inverse=True, return_counts=True)
+        runs = np.flatnonzero((n > least)[which])
+        seen: dict[int, set[bytes]] = {}
+        for key, doc, a, b in zip(which[runs].tolist(), self.owner[runs].tolist(), self.start[runs].tolist(), self.end[runs].tolist()):
+            seen.setdefault(key, set()).add(self.texts[doc][a:b + self.width - 1])
+        many = sorted(k for k, x in seen.items() if len(x) > least)
+        return values[many], np.array([len(seen[k]) for k in many], np.int64)
+
+    def _alone(self, crowded: np.ndarray) -> np.ndarray:
+        """Cuts the runs of crowded hashes into single windows; tells which runs these are."""
+        sizes = np.where(crowded, self.end - self.start, 1)
+        before = np.cumsum(sizes) - sizes
+        self.owner, self.value, crowded = (np.repeat(x, sizes) for x in (self.owner, self.value, crowded))
+        self.start = np.repeat(self.start, sizes) + np.arange(sizes.sum()) - np.repeat(before, sizes)
+        self.end = np.where(crowded, self.start + 1, np.repeat(self.end, sizes))
+        return crowded
+
     def stretches(self, told: pa.Table, bits: int, part_bits: int):
         """Runs that may repeat, ordered by part; for each the stretch that stands for it."""
         answered = {b: x for k, b, x in zip(*(told[c].to_pylist() for c in ("kind", "block", "bits"))) if k == 0}
-        maybe = np.flatnonzero(estimated_repeated(self.value, answered, bits))
-        part = (mixed(self.value[maybe]) >> _U(64 - part_bits)).astype(np.int64) if part_bits else np.zeros(len(maybe), np.int64)
+        repeated, crowded = estimated_repeated(self.value, answered, bits), estimated_crowded(self.value, answered, bits)
+        if crowded.any():
+            repeated = np.repeat(repeated, np.where(crowded, self.end - self.start, 1))
+            crowded = self._alone(crowded)
+        maybe = np.flatnonzero(repeated)
+        place = self.value[maybe]
+        own = np.flatnonzero(crowded[maybe])
+        for n, doc, a in zip(own.tolist(), self.owner[maybe[own]].tolist(), self.start[maybe[own]].tolist()):
+            place[n] = xxhash.xxh3_64_intdigest(self.texts[doc][a:a + self.width])
+        part = (mixed(place) >> _U(64 - part_bits)).astype(np.int64) if part_bits else np.zeros(len(maybe), np.int64)
         order = np.argsort(part, kind="stable")  # within a part still by document
         maybe, part = maybe[order], part[order]
         seen: dict[bytes, int] = {}
@@ -292,6 +325,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK_B
                                 F.octet_length("text").cast("long").alias("n"), F.md5("text").alias("digest")), "digests")
     n_bytes = texts.agg(F.sum("n")).first()[0] or 0
     grouped, n_chunks = chunked(plain, n_bytes, chunk_bytes)
+    few, half = max(1, CROWD // 2 // n_chunks), CROWD // 2
     bits = sketch_bits(n_bytes)
     part_bits = max(0, bits - 22)
     long = texts.where(F.col("n") >= width)
@@ -305,7 +339,8 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK_B
         return rows.withColumns({"kind": F.lit(kind), "doc": nothing["doc"], "digest": nothing["digest"]}).select(order)
 
     def sketch(key: tuple[pa.Scalar, ...], found: pa.Table, told: pa.Table) -> pa.Table:
-        return sketch_rows(_Chunk(found, told, width).value, key[0].as_py(), bits)
+        held = _Chunk(found, told, width)
+        return pa.concat_tables([sketch_rows(held.value, key[0].as_py(), bits), crowd_rows(*held.crowds(few), key[0].as_py(), bits)])
 
     def runs(key: tuple[pa.Scalar, ...], found: pa.Table, told: pa.Table) -> pa.Table:
         held = _Chunk(found, told, width)
@@ -332,7 +367,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK_B
 
     narrow = grouped.select("doc_id", "text", "chunk") if carry else grouped
     sketched = narrow.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(sketch, CELLS)
-    told = copies.unionByName(as_told(answers(sketched), 0))
+    told = copies.unionByName(as_told(answers(sketched, half), 0))
     sent = narrow.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(runs, RUNS)
     told = told.unionByName(as_told(sent.groupBy("part").applyInArrow(_part_sorter(width), ANSWERS), 1))
     return grouped.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, (KEPT.replace("kept binary", "kept string") if as_text else KEPT) + extra)

@@ -67,6 +67,39 @@ def test_suffixes_match_brute_force(spark, seed):
     assert all(r.n_removed == sum(b - a for a, b in zip(r.starts, r.ends)) and r.n_spans == len(r.starts) for r in got)
 
 
+def test_suffixes_with_crowded_hashes_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWD", 6)
+    docs = passages(3, n=90, hot=40)
+    got = suffix_dedup.suffix_dedup(with_clashes(spark.createDataFrame(docs, SCHEMA)), chunk_bytes=4000).collect()
+    assert {r.doc_id: (r.n_bytes, list(zip(r.starts, r.ends)), bytes(r.kept)) for r in got} == brute.suffixes(docs)
+
+
+def test_edges_of_a_shared_passage_do_not_fill_one_part():
+    import pyarrow as pa
+    import pyarrow.compute
+    rng = random.Random(2)
+    passage = "".join(rng.choices("abcdefghij", k=45))  # shorter than a window: every stretch has own bytes
+    letters = lambda: "".join(rng.choices("klmnopqrstuvwxyz", k=60))
+    cells = pa.schema([(c.split()[0], {"int": pa.int32(), "binary": pa.binary()}[c.split()[1]]) for c in sketch.CELLS.split(", ")])
+    told_schema = pa.schema([("kind", pa.int32()), ("block", pa.int32()), ("bits", pa.binary()), ("doc", pa.int64()), ("digest", pa.string())])
+    tables = [pa.table({"doc_id": [c * 200 + i for i in range(200)], "text": [letters() + passage + letters() for _ in range(200)]}) for c in range(4)]
+    bits, sent = 20, []
+    for c, docs in enumerate(tables):
+        held = suffix_dedup._Chunk(docs, told_schema.empty_table(), 50)
+        sent += [sketch.sketch_rows(held.value, c, bits), sketch.crowd_rows(*held.crowds(4), c, bits)]
+    sent = pa.concat_tables(sent).cast(cells)
+    by_block = [sent.filter(pa.compute.equal(sent["block"], b)) for b in sent["block"].unique()]
+    answers = pa.concat_tables([sketch.merge_block(x, 16) for x in by_block])
+    loads = Counter()
+    for c, docs in enumerate(tables):
+        own = answers.filter(pa.compute.equal(answers["chunk"], c))
+        told = pa.table({"kind": pa.array([0] * len(own), pa.int32()), "block": own["block"], "bits": own["bits"],
+                         "doc": pa.array([None] * len(own), pa.int64()), "digest": pa.array([None] * len(own), pa.string())})
+        *_, part, data = suffix_dedup._Chunk(docs, told, 50).stretches(told, bits, 10)
+        loads.update(part.tolist())
+    assert sum(loads.values()) > 800 and max(loads.values()) < 60
+
+
 def test_suffixes_of_repeated_and_null_rows(spark):
     text = "é".join("t%d" % i for i in range(40))
     docs = spark.createDataFrame([(None, text), (3, text), (3, text), (None, text), (9, None)], SCHEMA)
