@@ -38,7 +38,6 @@ from lakesearch.session import staged
 
 TRAIN_ROWS = 1 << 16
 LEXICON = 512
-CANDIDATES = 1 << 14
 MIN_SHARE = 0.004
 MIN_TEXTS = 3
 MAX_NEAR_SHARE = 0.0005
@@ -194,11 +193,13 @@ def terms(text: str, wanted: frozenset | None = None) -> set[str]:
 
 def _term_counts(texts: DataFrame, wanted: frozenset | None) -> DataFrame:
     """(term, n): documents with each term."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                counts.update(terms(text or "", wanted))
+                counts.update(terms(text or "", shared.value))
         yield pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], names=["term", "n"])
 
     return texts.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
@@ -206,14 +207,15 @@ def _term_counts(texts: DataFrame, wanted: frozenset | None) -> DataFrame:
 
 def learn_lexicon(texts: DataFrame, size: int = LEXICON) -> Lexicon:
     """Terms over ``MIN_ODDS`` (natural logarithm) likelier in toxic texts, in ``MIN_SHARE`` of them and in
-    ``MIN_TEXTS`` different ones at least."""
+    ``MIN_TEXTS`` different ones at least. The support bounds the candidates: they are at most the terms of a toxic text
+    on average, over ``MIN_SHARE``."""
     texts = staged(texts.dropDuplicates(["text", "toxic"]), "different")
     totals = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}  # two rows
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
         return Lexicon({}, {})
     support = max(MIN_TEXTS, MIN_SHARE * n_toxic)
-    toxic = {r["term"]: r["n"] for r in _term_counts(texts.where("toxic = 1"), None).where(F.col("n") >= support).orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
+    toxic = {r["term"]: r["n"] for r in _term_counts(texts.where("toxic = 1"), None).where(F.col("n") >= support).collect()}
     clean = {r["term"]: r["n"] for r in _term_counts(texts.where("toxic = 0"), frozenset(toxic)).collect()}
     odds = {t: np.log((n + 0.5) / (n_toxic + 1)) - np.log((clean.get(t, 0) + 0.5) / (n_clean + 1)) for t, n in toxic.items()}
     picked = sorted((t for t in toxic if odds[t] >= MIN_ODDS), key=lambda t: (-toxic[t] * odds[t], len(t), t))

@@ -169,6 +169,13 @@ def test_misspellings_of_every_word_are_searched(spark):
     assert {lexicon.hit(w[:4] + w[5:])[0] for w in bad} == {lexicon.hit(w + "x")[0] for w in bad} == {"fuzzy"}
 
 
+def test_rare_toxic_terms_are_learnt_among_many_common_ones(spark):
+    common = " ".join("w%05d" % i for i in range(17000))
+    rows = [(f"{common} {'worthless' if i else 'river'} t{i}", 1) for i in range(4)] + [(f"{common} c{i}", 0) for i in range(30)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert lexicon.hit("worthless")
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, _ = toxic_docs(10)
     none = spark.createDataFrame([], "doc_id long, toxic int")
