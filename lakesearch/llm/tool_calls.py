@@ -150,7 +150,7 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 11 == 0, F.lit("{oops")).when(is_search, search).otherwise(find).alias("arguments"),
         F.when(turn == 1, F.array(ahead)).when((turn == 5) & (F.col("conv_id") % 5 == 0), F.array(back, ahead))
         .when(turn >= 4, F.array(back)).otherwise(F.array().cast("array<string>")).alias("depends_on"))
-    results = turns.where("role <> 'assistant'").select(ident(turn - 1).alias("call_id"), turn.alias("position"), F.col("text").alias("content"))
+    results = turns.where("not (role <=> 'assistant')").select(ident(turn - 1).alias("call_id"), turn.alias("position"), F.col("text").alias("content"))
     linked = link_tool_calls(calls, results, spark.sql(f"select * from {SCHEMAS}"))
     return linked.withColumn("errors", F.array_join("errors", "; "))
 

@@ -164,3 +164,10 @@ def test_equal_calls_share_their_result(spark):
     calls = spark.createDataFrame([(1, "x", 1, "f", "{}", []), (1, "x", 1, "f", "{}", ["x"]), (1, "v", 2, "f", "{}", ["x"])], CALLS)
     rows = tool_calls.link_tool_calls(calls, spark.createDataFrame([("x", 1, "r")], RESULTS), spark.createDataFrame([], SCHEMAS)).collect()
     assert len(rows) == 3 and all('"result":"r"' in r.message for r in rows if r.call_id == "x")
+
+
+def test_a_turn_without_role_is_a_result(spark, tmp_path):
+    rows = [(2, 0, "user", "ask"), (2, 1, "assistant", "call"), (2, 2, None, "answer")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    (found,) = tool_calls.op5_tool_calls(spark, str(tmp_path)).collect()
+    assert found.n_results == 1 and '"result":"answer"' in found.message
