@@ -58,8 +58,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number and digests of each document's token ids, and of the text they decode to."""
-    return digests(encode(docs, multi_vocabulary(), decoded=True))
+    """Each document's token ids, joined by commas, the bytes they decode to, the number of ids and digests of both."""
+    return digests(encode(docs, multi_vocabulary(), decoded=True), carry=("ids", "decoded"))
 
 
 STAGES = [

@@ -246,10 +246,10 @@ def multi_vocabulary() -> Vocabulary:
     return Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """Digests of (doc_id, ids, decoded)."""
+def digests(encoded: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Digests of (doc_id, ids, decoded), and the ``carry`` columns."""
     return encoded.select("doc_id", count_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2("decoded", 256).alias("decoded_sha256"))
+                          F.sha2("decoded", 256).alias("decoded_sha256"), *carry)
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,3 +104,11 @@ def test_run_matches_plain_stages_at_four_fifths(spark, monkeypatch):
     near = brute.near
     monkeypatch.setattr(brute, "near", lambda docs, percent=80: near(docs, percent))
     test_run_matches_plain_stages(spark)
+
+
+def test_last_stage_returns_ids_and_bytes(spark):
+    (row,) = corpus_pipeline.token_ids(spark, spark.createDataFrame([(1, "one two é")], "doc_id long, text string"), SF).collect()
+    ids = [int(i) for i in row.ids.split(",")]
+    names = {rank: token for token, rank in multi_vocabulary().ranks.items()}
+    assert len(ids) == row.n_tokens and b"".join(names[i] for i in ids) == bytes(row.decoded) == "one two é".encode()
+    assert brute.sha(row.ids) == row.ids_sha256 and brute.sha(bytes(row.decoded)) == row.decoded_sha256
