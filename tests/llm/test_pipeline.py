@@ -52,7 +52,7 @@ def test_run_matches_plain_stages(spark):
     docs = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
     docs = plain_quality(docs, good)
-    groups = brute.near([d[:2] for d in docs])
+    groups = brute.near([d[:2] for d in docs], corpus_pipeline.NEAR_PERCENT)
     docs = [d for d in docs if groups[d[0]][1] == d[0]]
     cut = brute.suffixes([d[:2] for d in docs])
     docs = [(d, cut[d][2].decode("utf-8", "ignore"), s) for d, _, s in docs]
@@ -99,13 +99,6 @@ def test_near_copies_of_four_fifths_go(spark):
     assert {r.doc_id for r in got.collect()} == want
 
 
-def test_run_matches_plain_stages_at_four_fifths(spark, monkeypatch):
-    """``test_run_matches_plain_stages`` compares with links from 85 per cent; the stage links from 80."""
-    near = brute.near
-    monkeypatch.setattr(brute, "near", lambda docs, percent=80: near(docs, percent))
-    test_run_matches_plain_stages(spark)
-
-
 def test_last_stage_returns_ids_and_bytes(spark):
     (row,) = corpus_pipeline.token_ids(spark, spark.createDataFrame([(1, "one two é")], "doc_id long, text string"), SF).collect()
     ids = [int(i) for i in row.ids.split(",")]
