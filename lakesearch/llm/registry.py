@@ -1,6 +1,6 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import bpe, fixity, mixing, near_dedup, quality, suffix_dedup, tool_calls, topk_search, toxicity, window_dedup
+from lakesearch.llm import bpe, fixity, mixing, near_dedup, quality, spelling, suffix_dedup, tool_calls, topk_search, toxicity, window_dedup
 
 QUERIES = {
     "op1_fixity": fixity.op1_fixity,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_suffixes": suffix_dedup.op8_suffixes,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
+    "op11_spelling": spelling.op11_spelling,
 }
 
 ORACLES = {

