@@ -1,6 +1,6 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import bpe, fixity, mixing, near_dedup, quality, spelling, suffix_dedup, tool_calls, topk_search, toxicity, window_dedup
+from lakesearch.llm import bpe, fixity, line_dedup, mixing, near_dedup, quality, spelling, suffix_dedup, tool_calls, topk_search, toxicity, window_dedup
 
 QUERIES = {
     "op1_fixity": fixity.op1_fixity,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
     "op11_spelling": spelling.op11_spelling,
+    "op12_lines": line_dedup.op12_lines,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op5_tool_calls": tool_calls.SQL,
     "op6_topk": topk_search.SQL,
     "op10_mixing": mixing.SQL,
+    "op12_lines": line_dedup.SQL,
 }
