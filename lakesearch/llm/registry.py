@@ -1,6 +1,6 @@
 """Registered queries of the subpackage and their DuckDB oracles."""
 
-from lakesearch.llm import bpe, fixity, line_dedup, mixing, near_dedup, quality, spelling, suffix_dedup, tool_calls, topk_search, toxicity, window_dedup
+from lakesearch.llm import bpe, fixity, line_dedup, mixing, near_dedup, periodic_runs, quality, spelling, suffix_dedup, tool_calls, topk_search, toxicity, window_dedup
 
 QUERIES = {
     "op1_fixity": fixity.op1_fixity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_spelling": spelling.op11_spelling,
     "op12_lines": line_dedup.op12_lines,
+    "op13_runs": periodic_runs.op13_runs,
 }
 
 ORACLES = {

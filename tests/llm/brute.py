@@ -150,3 +150,23 @@ def spelling(docs, min_length=7, min_count=2, factor=10):
             root = form[root]
         out[w] = (form[w], root, n, len(near[w]), vocab[form[w]] if form[w] else None)
     return out
+
+
+def runs_of(ids):
+    """(start, length, period) of every run, by trying every period on every place."""
+    n, out = len(ids), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            if ids[i] != ids[i + q]:
+                i += 1
+                continue
+            j = i
+            while j < n - q and ids[j] == ids[j + q]:
+                j += 1
+            s, length = i, j - i + q
+            smaller = any(q % p == 0 and all(ids[k] == ids[k + p] for k in range(s, s + length - p)) for p in range(1, q))
+            if length >= max(6, 4 * q) and not smaller:
+                out.append((s, length, q))
+            i = j
+    return sorted(out, key=lambda r: (r[0], r[2]))
