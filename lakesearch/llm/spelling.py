@@ -60,9 +60,8 @@ def vocabulary(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = M
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count))
 
 
-def letter_dimensions(word: Column) -> Column:
-    """Sorted array of ``letter#k``: the k-th copy of each letter, k from 1."""
-    letters = F.array_sort(F.regexp_extract_all(word, F.lit("(.)"), 1))
+def letter_dimensions(letters: Column) -> Column:
+    """Sorted array of ``letter#k`` from the sorted letters: the k-th copy of each letter, k from 1."""
     return F.transform(letters, lambda c, i: F.concat(c, F.lit("#"), (i - F.array_position(letters, c) + 2).cast("string")))
 
 
@@ -70,22 +69,34 @@ def _in_part(part: int, parts: int):
     return lambda d: F.pmod(F.xxhash64(d), F.lit(parts)) == part
 
 
+def signed(words: DataFrame, parts: int = PARTS) -> DataFrame:
+    """(word, n, length, signature): C(parts, 2) rows a word, hashes of its projections on all but two parts.
+
+    Each step is its own projection, so that the letters, the dimensions and the parts are
+    computed once a word and not again inside every signature.
+    """
+    letters = words.select("word", "n", F.char_length("word").alias("length"),
+                           F.array_sort(F.regexp_extract_all("word", F.lit("(.)"), 1)).alias("letters"))
+    dims = letters.select("word", "n", "length", letter_dimensions(F.col("letters")).alias("dims"))
+    projected = dims.select("word", "n", "length", *[F.array_join(F.filter("dims", _in_part(p, parts)), "\u0001").alias(f"p{p}")
+                                                     for p in range(parts)])
+    signatures = [F.xxhash64(F.lit(number), *[F.col(f"p{p}") for p in range(parts) if p not in left_out])
+                  for number, left_out in enumerate(combinations(range(parts), 2))]
+    return projected.select("word", "n", "length", F.explode(F.array(*signatures)).alias("signature"))
+
+
 def signatures(word: Column, parts: int = PARTS) -> Column:
-    """Array of C(parts, 2) 64-bit signatures: hashes of the projections on all but two parts."""
-    dims = letter_dimensions(word)
+    """The signatures of one word column, as an array (for tests and single lookups)."""
+    dims = letter_dimensions(F.array_sort(F.regexp_extract_all(word, F.lit("(.)"), 1)))
     projections = [F.array_join(F.filter(dims, _in_part(p, parts)), "\u0001") for p in range(parts)]
-    out = []
-    for number, left_out in enumerate(combinations(range(parts), 2)):
-        kept = [projections[p] for p in range(parts) if p not in left_out]
-        out.append(F.xxhash64(F.lit(number), *kept))
-    return F.array(*out)
+    return F.array(*[F.xxhash64(F.lit(number), *[projections[p] for p in range(parts) if p not in left_out])
+                     for number, left_out in enumerate(combinations(range(parts), 2))])
 
 
 def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
     """(left, right, left_n, right_n), left < right: pairs of words one edit apart, each once."""
-    signed = words.select("word", "n", F.char_length("word").alias("length"),
-                          F.explode(signatures(F.col("word"), parts)).alias("signature"))
-    left, right = signed.alias("l"), signed.alias("r")
+    sig = staged(signed(words, parts), "spelling-signatures")
+    left, right = sig.alias("l"), sig.alias("r")
     joined = left.join(right, (F.col("l.signature") == F.col("r.signature")) & (F.col("l.word") < F.col("r.word"))
                        & (F.abs(F.col("l.length") - F.col("r.length")) <= 1))
     candidates = joined.select(F.col("l.word").alias("left"), F.col("r.word").alias("right"),
