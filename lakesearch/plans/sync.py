@@ -12,7 +12,7 @@ from lakesearch.operators.chunking import chunk_files
 from lakesearch.operators.embedding import embed_gate, hash_embed, reject_empty_vectors, sync_record
 from lakesearch.operators.vectors import delete_by_file, upsert_by_id
 from lakesearch.session import staged
-from lakesearch.sources.vector_table import BUCKETS, has_table, only_partitions, read_vectors, with_bucket, write_vectors
+from lakesearch.sources.vector_table import BUCKETS, current_commit, only_partitions, read_vectors, with_bucket, write_vectors
 
 RECORD_ORDER = ["file_path", "chunk_index"]
 FAILURE_COLUMNS = ["repo_name", "file_path", "operation", "message", "status"]
@@ -80,23 +80,30 @@ def apply_sync(vectors: DataFrame, sync: Sync) -> DataFrame:
     return upsert_by_id(delete_by_file(vectors, sync.deletes), sync.records)
 
 
-def apply_sync_to_table(path: str, sync: Sync, buckets: int = BUCKETS) -> None:
-    """Apply a sync to a table on disk, rewriting only the (namespace, bucket) partitions
-    of changed files.
+def apply_sync_to_table(path: str, sync: Sync, buckets: int = BUCKETS, stream: tuple[str, int] | None = None,
+                        before_commit=None) -> bool:
+    """Apply a sync to a table on disk as a new version, writing only the (namespace, bucket)
+    partitions of changed files.
 
-    The new partitions are written to the scratch folder first, as a table must not be
-    overwritten while it is read; a run repeated after a failure gives the same table.
+    ``stream`` is (stream id, batch id): a batch whose id the current version already records
+    for its stream is skipped, and the id is recorded in the same commit as the rows, so a
+    replayed batch writes nothing. Returns whether a version was written.
     """
     spark = sync.plan.sparkSession
+    head = current_commit(spark, path)
+    if stream is not None and head is not None and head.get("streams", {}).get(stream[0], -1) >= stream[1]:
+        return False
     touched = with_bucket(sync.deletes.select("namespace", "file_path").unionByName(
         sync.records.select("namespace", "file_path")), buckets).select("namespace", "bucket").distinct()
     touched = staged(touched, "touched")
-    if has_table(spark, path):
+    if head is not None:
         stored = only_partitions(read_vectors(spark, path), touched).drop("bucket")
     else:  # the first sync of a new table
         stored = sync.records.limit(0)
     rewritten = staged(with_bucket(apply_sync(stored, sync), buckets), "rewritten")
     rewritten = rewritten.select(*sync.records.columns, "bucket", *[c for c in rewritten.columns if c not in (*sync.records.columns, "bucket")])
-    # A partition that lost its last row is replaced by one marker row.
+    # A partition that lost its last row is named by one row without id, and so emptied.
     emptied = touched.join(rewritten.select("namespace", "bucket").distinct(), ["namespace", "bucket"], "left_anti")
-    write_vectors(rewritten.unionByName(emptied, allowMissingColumns=True), path, buckets)
+    write_vectors(rewritten.unionByName(emptied, allowMissingColumns=True), path, buckets,
+                  streams=None if stream is None else {stream[0]: stream[1]}, before_commit=before_commit)
+    return True

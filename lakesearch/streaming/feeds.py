@@ -20,11 +20,12 @@ def stream_change_feed(changes: DataFrame, files: DataFrame, table: str, checkpo
     """Apply each micro-batch of (repo_name, seq, ord, status, path) to the vector table.
 
     A batch is a sync: its changes are collapsed per path, its record ids depend on the
-    content alone, and deletes come before upserts. A batch replayed after a failure
-    therefore leaves the table as it is, and the sink needs no log of batch ids.
+    content alone, and deletes come before upserts. The table's commit records the last batch
+    id of this stream (keyed by its checkpoint) with the rows, so a batch replayed after a
+    failure is skipped without writing a file.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_sync_to_table(table, prepare_sync(batch, files, embed), buckets)
+        apply_sync_to_table(table, prepare_sync(batch, files, embed), buckets, stream=(checkpoint, batch_id))
 
     return (changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
