@@ -30,7 +30,16 @@ def test_whole_small_table_matches_all_pairs(spark):
 
 
 def test_signatures_are_shared_by_words_one_edit_apart(spark):
+    import random
+    rng = random.Random(3)
+    letters = "abcióné"
     pairs = [("abcdefgh", "abcdefg"), ("abcdefgh", "abcxefgh"), ("aaaaaaab", "aaaaaaaab"), ("zyxwvuts", "zyxwvutss")]
+    for _ in range(400):
+        word = "".join(rng.choice(letters) for _ in range(rng.randint(7, 12)))
+        at = rng.choice([0, 1, 2, 3, len(word) - 1, rng.randrange(len(word))])
+        other = rng.choice([word[:at] + rng.choice(letters) + word[at + 1:], word[:at] + word[at + 1:], word[:at] + rng.choice(letters) + word[at:]])
+        if len(other) >= 7 and other != word:
+            pairs.append((word, other))
     frame = spark.createDataFrame(pairs, "a string, b string")
     rows = frame.select(spelling.signatures(frame.a).alias("x"), spelling.signatures(frame.b).alias("y")).collect()
     assert all(set(r.x) & set(r.y) for r in rows)
