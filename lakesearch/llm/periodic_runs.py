@@ -6,16 +6,17 @@ the dyadic scale B the text is cut into aligned blocks of B words, and each bloc
 compared with every place d words further on, for d up to 2B (from B + 1, or from 1 at
 B = 1), by one convolution: the sum of squared differences of word numbers,
 ``sum x^2 - 2 sum x*y + sum y^2``, is zero exactly where the block occurs. The cross sums
-come from a number theoretic transform over two primes, exact integer arithmetic in
-numpy: a sum below the product of the primes is zero if and only if both residues are.
+come from a number theoretic transform modulo a prime, exact integer arithmetic in numpy:
+a sum below the prime is zero if and only if its residue is.
 A run of period q in (B, 2B] is at least 4q > 2B + q - 1 words long, so it holds an
 aligned block and the block's copy q further on: each run is found at its scale. Every
 zero is confirmed on the words themselves and extended both ways to the maximal stretch;
 stretches whose period has a proper divisor that is also a period are the run of that
 smaller period, found at its own scale.
 
-Word numbers in the transform are taken modulo ``MODULUS`` so that sums stay below the
-primes' product; a collision can only add a candidate, which the word comparison rejects.
+Word numbers in the transform are taken modulo M, the largest with B * M^2 below the prime,
+so that a block's sum stays below it; a collision can only add a candidate, which the word
+comparison rejects. One transform serves the blocks of many documents at once.
 
 The work is per document (``mapInArrow``): no shuffle, so no key can be hot. A text is
 handled whole, its blocks in batches of ``BATCH_CELLS`` transform cells, so memory is linear
@@ -30,7 +31,10 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import functools
 import hashlib
+import itertools
+import math
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
@@ -49,10 +53,12 @@ PLANT_EVERY = 10
 PLANT_SPREAD = 8
 PLANT_BASE = 3
 
-#: Two primes p = c * 2^k + 1 with a primitive root each; their product is above 2^57.
-PRIMES = ((998244353, 3), (167772161, 3))
-MODULUS = 32749
+#: A prime p = 119 * 2^23 + 1 with a primitive root; transforms of up to 2^23 cells.
+PRIME, ROOT = 998244353, 3
+#: Transform cells a batch of blocks holds (8 bytes each, a few arrays of it at once).
 BATCH_CELLS = 1 << 21
+#: Words of the documents handled together: their blocks of one scale share a transform.
+GROUP_WORDS = 1 << 21
 
 _SCHEMA = ("doc_id long, n_words long, n_runs long, start long, length long, period long, exponent_milli long, "
            "runs_sha256 string, collapsed_sha256 string")
@@ -60,52 +66,89 @@ _ARROW = pa.schema([(name, pa.int64()) for name in _SCHEMA.replace(" long", "").
                    + [("runs_sha256", pa.string()), ("collapsed_sha256", pa.string())])
 
 
-def _ntt(a: np.ndarray, prime: int, root: int, invert: bool = False) -> np.ndarray:
-    """Transform each row of ``a`` (length a power of two) modulo ``prime``."""
-    n = a.shape[1]
+@functools.lru_cache(maxsize=64)
+def _plan(n: int, invert: bool) -> tuple[np.ndarray, tuple[tuple[np.ndarray, np.ndarray], ...]]:
+    """Bit-reversed order and the twiddles (and twiddle / PRIME) of every stage of a transform of length ``n``."""
     bits = n.bit_length() - 1
+    index = np.arange(n)
     order = np.zeros(n, np.int64)
     for b in range(bits):
-        order |= ((np.arange(n) >> b) & 1) << (bits - 1 - b)
-    a = a[:, order] % prime
-    size = 2
+        order |= ((index >> b) & 1) << (bits - 1 - b)
+    stages, size = [], 2
     while size <= n:
-        w = pow(root, (prime - 1) // size, prime)
+        w = pow(ROOT, (PRIME - 1) // size, PRIME)
         if invert:
-            w = pow(w, prime - 2, prime)
+            w = pow(w, PRIME - 2, PRIME)
+        twiddles = np.ones(1, np.int64)
+        while len(twiddles) < size // 2:
+            twiddles = np.concatenate((twiddles, twiddles * pow(w, len(twiddles), PRIME) % PRIME))
+        stages.append((twiddles, twiddles / PRIME))
+        size *= 2
+    return order, tuple(stages)
+
+
+def _mulmod(a: np.ndarray, b: np.ndarray, b_by_prime: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME for a, b in [0, PRIME): the quotient from floating point, which is
+    off by one at most, and the remainder exact in 64-bit integers."""
+    r = a * b - (a * b_by_prime).astype(np.int64) * PRIME
+    np.add(r, PRIME, out=r, where=r < 0)
+    np.subtract(r, PRIME, out=r, where=r >= PRIME)
+    return r
+
+
+def _ntt(a: np.ndarray, invert: bool = False) -> np.ndarray:
+    """Transform each column of ``a`` (values in [0, PRIME), a power of two rows) modulo ``PRIME``.
+
+    The blocks are the inner axis, so every step works on long contiguous runs of cells,
+    whatever the stage.
+    """
+    n, columns = a.shape
+    order, stages = _plan(n, invert)
+    a, out = a[order], np.empty_like(a)
+    size = 2
+    for twiddles, scaled in stages:
         half = size // 2
-        twiddles = np.ones(half, np.int64)
-        for j in range(1, half):
-            twiddles[j] = twiddles[j - 1] * w % prime
-        view = a.reshape(a.shape[0], n // size, size)
-        low, high = view[:, :, :half], view[:, :, half:] * twiddles % prime
-        a = np.concatenate(((low + high) % prime, (low - high) % prime), axis=2).reshape(a.shape[0], n)
+        view, dest = a.reshape(n // size, size, columns), out.reshape(n // size, size, columns)
+        low, high = view[:, :half], _mulmod(view[:, half:], twiddles[:, None], scaled[:, None])
+        upper, lower = dest[:, :half], dest[:, half:]
+        np.add(low, high, out=upper)
+        np.subtract(upper, PRIME, out=upper, where=upper >= PRIME)
+        np.subtract(low, high, out=lower)
+        np.add(lower, PRIME, out=lower, where=lower < 0)
+        a, out = out, a
         size *= 2
     if invert:
-        a = a * pow(n, prime - 2, prime) % prime
+        inverse = pow(n, PRIME - 2, PRIME)
+        a = _mulmod(a, np.int64(inverse), np.float64(inverse / PRIME))
     return a
 
 
-def _zero_distances(values: np.ndarray, starts: np.ndarray, width: int, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, d) where the block ``values[s:s+width]`` equals ``values[s+d:s+d+width]``, first <= d <= last."""
+def _zero_distances(values: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, docs: np.ndarray, starts: np.ndarray,
+                    width: int, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, d), first <= d <= last, where block ``row`` (document ``docs[row]``, word
+    ``starts[row]``) occurs again d words on in its document.
+
+    The cross sums are one cyclic convolution of length ``n_fft`` >= ``span``: the sums
+    wanted sit at width - 1 and on, which no wrapped term reaches. Places past the end of a
+    document hold 0, which no word number is.
+    """
     span = last - first + width
-    n_fft = 1 << (span + width - 1).bit_length()
-    padded = np.concatenate((values, np.zeros(3 * width + last, np.int64)))
-    blocks = padded[starts[:, None] + np.arange(width)]
-    windows = padded[starts[:, None] + first + np.arange(span)]
-    x2 = np.concatenate((np.zeros((len(starts), 1), np.int64), np.cumsum(windows * windows, axis=1)), axis=1)
-    x2 = x2[:, width:width + last - first + 1] - x2[:, :last - first + 1]
+    n_fft = 1 << max(1, (span - 1).bit_length())
+    base = offsets[docs] + starts
+    blocks = values[base[:, None] + np.arange(width)]
+    places = starts[:, None] + first + np.arange(span)
+    inside = places < sizes[docs][:, None]
+    windows = np.where(inside, values[np.minimum(offsets[docs][:, None] + places, len(values) - 1)], 0)
+    sums = np.concatenate((np.zeros((len(starts), 1), np.int64), np.cumsum(windows * windows, axis=1)), axis=1)
+    x2 = sums[:, width:width + last - first + 1] - sums[:, :last - first + 1]
     y2 = (blocks * blocks).sum(axis=1)[:, None]
-    zero = np.ones((len(starts), last - first + 1), bool)
-    for prime, root in PRIMES:
-        fx = np.zeros((len(starts), n_fft), np.int64)
-        fx[:, :span] = windows
-        fy = np.zeros((len(starts), n_fft), np.int64)
-        fy[:, :width] = blocks[:, ::-1]
-        cross = _ntt(_ntt(fx, prime, root) * _ntt(fy, prime, root) % prime, prime, root, invert=True)
-        cross = cross[:, width - 1:width - 1 + last - first + 1]
-        zero &= (x2 % prime - 2 * cross + y2 % prime) % prime == 0
-    rows, at = np.nonzero(zero)
+    fx = np.zeros((n_fft, len(starts)), np.int64)
+    fx[:span] = windows.T
+    fy = np.zeros((n_fft, len(starts)), np.int64)
+    fy[:width] = blocks[:, ::-1].T
+    tx, ty = _ntt(fx), _ntt(fy)
+    cross = _ntt(_mulmod(tx, ty, ty / PRIME), invert=True)[width - 1:width + last - first].T
+    rows, at = np.nonzero((x2 + y2 - 2 * cross) % PRIME == 0)
     return rows, at + first
 
 
@@ -143,51 +186,68 @@ def _covering(runs: list[tuple[int, int, int]], starts: list[int], s: int, e: in
     return None
 
 
-def find_runs(words: np.ndarray) -> list[tuple[int, int, int]]:
-    """(start, length, period) of every run, by start then period.
+def find_runs_many(documents: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
+    """(start, length, period) of every run of each word-number array, by start then period.
+
+    At each scale the blocks of all documents go through one transform. Word numbers are
+    taken modulo M with B * M^2 below the prime, so the squared differences of a block sum
+    below it and the test for zero is exact on those numbers; equal words always give zero,
+    and a zero of different words (equal modulo M) is rejected on the words.
 
     A candidate inside a run already found, of a period that divides its own, is extended
     from that run's ends: a long run of a short period costs each larger scale one pass over
     what lies beyond it, not one pass over the run for every distance.
     """
-    n = len(words)
-    values = words % MODULUS + 1
-    runs: list[tuple[int, int, int]] = []
+    sizes = np.array([len(d) for d in documents], np.int64)
+    offsets = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64) if len(documents) else sizes
+    numbers = np.concatenate(documents).astype(np.int64) if len(documents) else np.zeros(0, np.int64)
+    runs: list[list[tuple[int, int, int]]] = [[] for _ in documents]
     width = 1
     while True:
         first = 1 if width == 1 else width + 1
-        last = min(2 * width, n // MIN_EXPONENT)
-        if first > last:
+        last = 2 * width
+        live = np.flatnonzero(sizes // MIN_EXPONENT >= first)
+        if not live.size:
             break
-        count = (n - width - first) // width + 1
-        starts_all = np.arange(max(0, count), dtype=np.int64) * width
-        rows_per_batch = max(1, BATCH_CELLS // (4 * width))
-        found: dict[int, list[tuple[int, int]]] = {}
-        run_starts = [r[0] for r in runs]
-        for b in range(0, len(starts_all), rows_per_batch):
-            starts = starts_all[b:b + rows_per_batch]
-            rows, distances = _zero_distances(values, starts, width, first, last)
-            for start, d in zip(starts[rows].tolist(), distances.tolist()):
-                seen = found.setdefault(d, [])
+        counts = (sizes[live] - width - first) // width + 1
+        docs = np.repeat(live, counts)
+        starts = (np.arange(len(docs)) - np.repeat(np.cumsum(counts) - counts, counts)) * width
+        modulus = math.isqrt((PRIME - 1) // width)
+        values = numbers % modulus + 1
+        rows_per_batch = max(1, BATCH_CELLS // (1 << max(1, (last - first + width - 1).bit_length())))
+        found: dict[tuple[int, int], list[tuple]] = {}
+        run_starts = [[r[0] for r in doc_runs] for doc_runs in runs]
+        for b in range(0, len(docs), rows_per_batch):
+            batch_docs, batch_starts = docs[b:b + rows_per_batch], starts[b:b + rows_per_batch]
+            rows, distances = _zero_distances(values, sizes, offsets, batch_docs, batch_starts, width, first, last)
+            for doc, start, d in zip(batch_docs[rows].tolist(), batch_starts[rows].tolist(), distances.tolist()):
+                n = int(sizes[doc])
+                if MIN_EXPONENT * d > n:
+                    continue
+                seen = found.setdefault((doc, d), [])
                 end = start + width + d
                 if seen and seen[-1][0] <= start and end <= seen[-1][1]:
                     continue
+                words = numbers[offsets[doc]:offsets[doc] + n]
                 if end > n or not _has_period(words, start, end, d):
                     continue
-                inner = _covering(runs, run_starts, start, end, d)
+                inner = _covering(runs[doc], run_starts[doc], start, end, d)
                 s, e = _extend(words, *(inner or (start, end)), d)
-                seen.append((s, e))
-                if inner == (s, e):
-                    seen[-1] = (s, e, True)
-        for d, stretches in found.items():
-            for stretch in stretches:
-                s, e = stretch[:2]
-                if len(stretch) == 2 and e - s >= max(MIN_LENGTH, MIN_EXPONENT * d) and not any(
+                seen.append((s, e, inner == (s, e)))
+        for (doc, d), stretches in found.items():
+            words = numbers[offsets[doc]:offsets[doc] + sizes[doc]]
+            for s, e, inside in stretches:
+                if not inside and e - s >= max(MIN_LENGTH, MIN_EXPONENT * d) and not any(
                         d % p == 0 and _has_period(words, s, e, p) for p in range(1, d // 2 + 1)):
-                    runs.append((s, e - s, d))
-        runs = sorted(set(runs))
+                    runs[doc].append((s, e - s, d))
+            runs[doc] = sorted(set(runs[doc]))
         width *= 2
-    return sorted(runs, key=lambda r: (r[0], r[2]))
+    return [sorted(doc_runs, key=lambda r: (r[0], r[2])) for doc_runs in runs]
+
+
+def find_runs(words: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, length, period) of every run of one word-number array."""
+    return find_runs_many([np.asarray(words, np.int64)])[0]
 
 
 def planted(words: list[bytes], doc_id: int | None) -> list[bytes]:
@@ -204,12 +264,14 @@ def planted(words: list[bytes], doc_id: int | None) -> list[bytes]:
     return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
 
 
-def describe(doc_id: int | None, text: bytes) -> dict:
-    """One result row of a text."""
-    words = planted(split_words(text), doc_id)
-    numbers: dict[bytes, int] = {}
-    ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-    runs = find_runs(ids)
+def _numbered(documents: list[list[bytes]]) -> list[np.ndarray]:
+    """Word numbers of each document; equal words get equal numbers across the documents."""
+    flat = pa.array(list(itertools.chain.from_iterable(documents)), pa.binary())
+    numbers = flat.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.split(numbers, np.cumsum([len(d) for d in documents])[:-1])
+
+
+def _row(doc_id: int | None, words: list[bytes], runs: list[tuple[int, int, int]]) -> dict:
     keep = np.ones(len(words), bool)
     for s, length, q in runs:
         keep[s + q:s + length] = False
@@ -222,10 +284,29 @@ def describe(doc_id: int | None, text: bytes) -> dict:
     return row
 
 
+def describe_many(rows: list[tuple[int | None, bytes]]) -> list[dict]:
+    """One result row for each (doc_id, text)."""
+    words = [planted(split_words(text), doc_id) for doc_id, text in rows]
+    runs = find_runs_many(_numbered(words))
+    return [_row(doc_id, w, r) for (doc_id, _), w, r in zip(rows, words, runs)]
+
+
+def describe(doc_id: int | None, text: bytes) -> dict:
+    """One result row of a text."""
+    return describe_many([(doc_id, text)])[0]
+
+
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [describe(d, t) for d, t in zip(batch.column("doc_id").to_pylist(), texts_of(batch))]
-        yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+        group, words, out = [], 0, []
+        for row in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
+            group.append(row)
+            words += row[1].count(b" ") + 1
+            if words >= GROUP_WORDS:
+                out += describe_many(group)
+                group, words = [], 0
+        out += describe_many(group)
+        yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
 
 
 def periodic_runs(docs: DataFrame) -> DataFrame:

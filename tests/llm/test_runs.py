@@ -47,6 +47,21 @@ def test_runs_match_every_period(seed):
         assert periodic_runs.find_runs(np.array(ids, np.int64)) == brute.runs_of(ids)
 
 
+def test_documents_together_find_what_each_finds_alone():
+    rng = random.Random(11)
+    docs = []
+    for _ in range(60):
+        n = rng.randint(0, 400)
+        ids = [rng.randrange(rng.choice([2, 4, 30])) for _ in range(n)]
+        if n > 20:
+            a, p = rng.randrange(n // 2), rng.randint(1, 30)
+            for i in range(a, n):
+                ids[i] = ids[a + (i - a) % p]
+        docs.append(np.array(ids, np.int64))
+    together = periodic_runs.find_runs_many(docs)
+    assert together == [brute.runs_of(d.tolist()) for d in docs]
+
+
 def test_rows_with_odd_cases_match_plain_version(spark):
     planted_id = next(i for i in range(10000) if zlib.crc32(str(i).encode()) % 10 == 0 and (zlib.crc32(str(i).encode()) // 10) % 8 >= 2
                       and (zlib.crc32(str(i).encode()) // 10) % 500 < 300)
