@@ -185,6 +185,7 @@ def _frequent(refs: DataFrame, min_docs: int) -> DataFrame:
 @dataclass
 class LineIndex:
     refs: DataFrame
+    frequent: DataFrame
     filters: DataFrame
     shards: int
     min_docs: int = MIN_DOCS
@@ -194,17 +195,18 @@ class LineIndex:
     def build(docs: DataFrame, shards: int | None = None, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> LineIndex:
         """An index of ``docs``; ``shards`` from the number of frequent keys if not given."""
         refs = staged(keyed_pairs(docs, min_chars), "line-refs")
-        frequent = _frequent(refs, min_docs)
+        frequent = staged(_frequent(refs, min_docs), "line-frequent")
         if shards is None:
             shards = max(1, -(-frequent.count() // SHARD_KEYS))
         sharded = frequent.select(F.pmod("key_hash", F.lit(shards)).alias("shard"), "key_hash")
         filters = staged(sharded.groupBy("shard").applyInPandas(_build, _FILTER), "line-filters")
-        return LineIndex(refs, filters, shards, min_docs, min_chars)
+        return LineIndex(refs, frequent, filters, shards, min_docs, min_chars)
 
     def _changed(self, refs: DataFrame) -> LineIndex:
         """The index with ``refs``; filters follow the keys whose frequency changed."""
-        before = _frequent(self.refs, self.min_docs).select("key_hash", "key", F.lit(True).alias("was"))
-        after = _frequent(refs, self.min_docs).select("key_hash", "key", F.lit(True).alias("is"))
+        frequent = staged(_frequent(refs, self.min_docs), "line-frequent")
+        before = self.frequent.select("key_hash", "key", F.lit(True).alias("was"))
+        after = frequent.select("key_hash", "key", F.lit(True).alias("is"))
         change = (before.join(after, ["key_hash", "key"], "full")
                   .where(F.col("was").isNull() | F.col("is").isNull())
                   .select(F.pmod("key_hash", F.lit(self.shards)).alias("shard"), "key_hash", F.col("is").isNotNull().alias("frequent")))
@@ -213,10 +215,10 @@ class LineIndex:
         updated = staged(self.filters.join(touched, "shard").groupBy("shard")
                          .cogroup(change.groupBy("shard")).applyInPandas(_update, _FILTER), "line-filters")
         full = updated.where("full").select("shard")
-        rebuilt = (_frequent(refs, self.min_docs).select(F.pmod("key_hash", F.lit(self.shards)).alias("shard"), "key_hash")
+        rebuilt = (frequent.select(F.pmod("key_hash", F.lit(self.shards)).alias("shard"), "key_hash")
                    .join(full, "shard").groupBy("shard").applyInPandas(_build, _FILTER))
         filters = staged(kept.unionByName(updated.where("not full")).unionByName(rebuilt), "line-filters")
-        return LineIndex(refs, filters, self.shards, self.min_docs, self.min_chars)
+        return LineIndex(refs, frequent, filters, self.shards, self.min_docs, self.min_chars)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         added = keyed_pairs(docs, self.min_chars)
@@ -241,19 +243,23 @@ class LineIndex:
         return (salted.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt"))
                 .applyInPandas(_probe, "doc_id long, key_hash long"))
 
-    def dropped_keys(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, keys): for each document, the frequent keys of which it loses its lines."""
-        pairs = keyed_pairs(docs, self.min_chars).select("doc_id", "key_hash").distinct()
+    def dropped_keys(self, docs: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+        """(doc_id, keys): for each document, the frequent keys of which it loses its lines.
+
+        ``pairs`` (doc_id, key_hash) of ``docs`` may be given where they are known, as for
+        the documents of the index itself.
+        """
+        if pairs is None:
+            pairs = keyed_pairs(docs, self.min_chars).select("doc_id", "key_hash").distinct()
         hits = self.maybe_frequent(pairs)
-        frequent = _frequent(self.refs, self.min_docs)
-        lost = (hits.join(frequent, "key_hash")
+        lost = (hits.join(self.frequent, "key_hash")
                 .where(~F.col("doc_id").eqNullSafe(F.col("top"))))
         return lost.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
-    def dedup(self, docs: DataFrame) -> DataFrame:
+    def dedup(self, docs: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         """doc_id, n_lines, n_dropped, kept_sha256 and ``kept`` (the text left) per row of ``docs``."""
         own = document_columns(docs)
-        lost = staged(self.dropped_keys(own), "line-dropped")
+        lost = staged(self.dropped_keys(own, pairs), "line-dropped")
         joined = own.alias("d").join(lost.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left")
         lines = lines_of(F.col("d.text"))
         keys = F.coalesce(F.col("k.keys"), F.array().cast("array<string>"))
@@ -266,7 +272,8 @@ class LineIndex:
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    return LineIndex.build(docs, min_docs=min_docs, min_chars=min_chars).dedup(docs)
+    index = LineIndex.build(docs, min_docs=min_docs, min_chars=min_chars)
+    return index.dedup(docs, index.refs.select("doc_id", "key_hash"))
 
 
 def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
