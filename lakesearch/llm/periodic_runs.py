@@ -59,6 +59,7 @@ PRIME, ROOT = 998244353, 3
 BATCH_CELLS = 1 << 21
 #: Words of the documents handled together: their blocks of one scale share a transform.
 GROUP_WORDS = 1 << 21
+_NEVER = 1 << 62
 
 _SCHEMA = ("doc_id long, n_words long, n_runs long, start long, length long, period long, exponent_milli long, "
            "runs_sha256 string, collapsed_sha256 string")
@@ -186,6 +187,17 @@ def _covering(runs: list[tuple[int, int, int]], starts: list[int], s: int, e: in
     return None
 
 
+def _next_occurrence(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Distance from each place to the next place of the same word in the same document;
+    ``_NEVER`` where there is none."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((np.arange(len(numbers)), numbers, doc))
+    out = np.full(len(numbers), _NEVER, np.int64)
+    same = (numbers[order[1:]] == numbers[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
+    out[order[:-1][same]] = order[1:][same] - order[:-1][same]
+    return out
+
+
 def find_runs_many(documents: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
     """(start, length, period) of every run of each word-number array, by start then period.
 
@@ -202,6 +214,11 @@ def find_runs_many(documents: list[np.ndarray]) -> list[list[tuple[int, int, int
     offsets = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64) if len(documents) else sizes
     numbers = np.concatenate(documents).astype(np.int64) if len(documents) else np.zeros(0, np.int64)
     runs: list[list[tuple[int, int, int]]] = [[] for _ in documents]
+    # farthest[i]: the largest distance to the next occurrence of a word of the block of the
+    # current width at i (no next occurrence in its document: more than any distance). A block
+    # occurs again d words on only if each of its words does, so a block whose farthest is above
+    # the largest distance of a scale has no zero there and is left out of the transform.
+    farthest = _next_occurrence(numbers, sizes)
     width = 1
     while True:
         first = 1 if width == 1 else width + 1
@@ -212,6 +229,8 @@ def find_runs_many(documents: list[np.ndarray]) -> list[list[tuple[int, int, int
         counts = (sizes[live] - width - first) // width + 1
         docs = np.repeat(live, counts)
         starts = (np.arange(len(docs)) - np.repeat(np.cumsum(counts) - counts, counts)) * width
+        possible = farthest[offsets[docs] + starts] <= last
+        docs, starts = docs[possible], starts[possible]
         modulus = math.isqrt((PRIME - 1) // width)
         values = numbers % modulus + 1
         rows_per_batch = max(1, BATCH_CELLS // (1 << max(1, (last - first + width - 1).bit_length())))
@@ -241,6 +260,8 @@ def find_runs_many(documents: list[np.ndarray]) -> list[list[tuple[int, int, int
                         d % p == 0 and _has_period(words, s, e, p) for p in range(1, d // 2 + 1)):
                     runs[doc].append((s, e - s, d))
             runs[doc] = sorted(set(runs[doc]))
+        if len(farthest) > width:
+            farthest[:-width] = np.maximum(farthest[:-width], farthest[width:])
         width *= 2
     return [sorted(doc_runs, key=lambda r: (r[0], r[2])) for doc_runs in runs]
 
