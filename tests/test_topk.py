@@ -90,3 +90,40 @@ def test_no_probes_need_no_scan(spark):
     out = topk.top_k(rows, spark.createDataFrame([], PROBES_DDL), ["number"])
     assert out.collect() == [] and {"number", "id", "score", "rank"} <= set(out.columns)
     assert "ArrowMap" not in out._jdf.queryExecution().toString() and "MapInArrow" not in out._jdf.queryExecution().toString()
+
+
+def test_nothing_passes_through_the_driver(spark, monkeypatch):
+    from pyspark import SparkContext
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def never(*args, **kwargs):
+        raise AssertionError("probes or vectors collected or broadcast")
+
+    collect = DataFrame.collect
+    for owner, name in ((DataFrame, "toArrow"), (DataFrame, "toPandas"), (SparkContext, "broadcast")):
+        monkeypatch.setattr(owner, name, never)
+    monkeypatch.setattr(DataFrame, "collect", lambda self: rows if len(rows := collect(self)) < 2 else never())
+    vectors, probes = _data()
+    out = topk.top_k(spark.createDataFrame(vectors, VECTORS_DDL), spark.createDataFrame(probes, "scope string, number bigint, need int, k int, qvec array<float>"),
+                     ["number"])
+    assert out.count() == sum(map(len, _brute(vectors, probes).values()))
+
+
+@pytest.mark.parametrize("crowded", [0, 1])
+def test_bound_loses_nothing_among_near_ties(crowded, monkeypatch):
+    monkeypatch.setattr(topk, "CROWDED", crowded)
+    monkeypatch.setattr(topk, "EXACT_PAIRS", 7 if crowded else 0)
+    rng = np.random.default_rng(3)
+    exact = np.repeat(rng.normal(size=(40, 16)), 30, axis=0)
+    exact[::2] += 1e-9 * rng.normal(size=exact[::2].shape)  # closer than single precision tells apart
+    exact /= np.linalg.norm(exact, axis=1)[:, None]
+    queries = np.concatenate([exact[:50:7], rng.normal(size=(20, 16))])
+    queries /= np.linalg.norm(queries, axis=1)[:, None]
+    k = 1 + np.arange(len(queries)) % 11
+    query, vector, score, rank = topk._best(exact, exact.astype(np.float32), queries, k)
+    for q in range(len(queries)):
+        keys = np.rint(exact @ queries[q] * topk._UNIT)
+        got = np.rint(score[query == q] * topk._UNIT)
+        assert len(got) == k[q] and rank[query == q].tolist() == list(range(k[q]))
+        assert np.abs(got - np.sort(keys)[::-1][:k[q]]).max() <= 1 and len(set(vector[query == q])) == k[q]
+        assert all(a < b for a, b, x, y in zip(vector[query == q], vector[query == q][1:], got, got[1:]) if x == y)
