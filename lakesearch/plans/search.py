@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from lakesearch.operators import retrieval as R
 from lakesearch.operators.analysis import analyze_query
 from lakesearch.operators.embedding import Model, embed_texts
-from lakesearch.session import staged
+from lakesearch.session import spread, staged
 
 Embed = Callable[[DataFrame], DataFrame]
 
@@ -32,7 +32,7 @@ def plan_probes(requests: DataFrame, vectors: DataFrame, profiles: DataFrame, ma
     Both are written once: every search step reads them, and the model must not be asked
     the same texts again.
     """
-    asked = requests.where(F.coalesce("query", F.lit("")) != "")
+    asked = spread(requests.where(F.coalesce("query", F.lit("")) != ""))
     targets = staged(R.resolve_namespaces(analyze_query(asked), vectors, mapping, defaults), "targets")
     probes = staged(embed(R.expand_probe_text(R.strategy_probes(targets, profiles))), "probes")
     return probes, targets

@@ -56,3 +56,13 @@ def test_plugged_in_tokenizer(spark):
     files = spark.createDataFrame([("r", "a.txt", "abc de", 6)], "repo_name string, file_path string, content string, size_bytes bigint")
     rows = chunk_files(files, token_counter(lambda: list)).collect()
     assert [(r.content, r.token_count) for r in rows] == [("abc de", 6)]
+
+
+def test_questions_of_one_partition_are_analysed_by_many_tasks(spark):
+    from lakesearch.plans.search import plan_probes
+    asked = spark.createDataFrame([(i, f"where is main{i}.py", None) for i in range(64)],
+                                  "query_id int, query string, repositories array<string>").coalesce(1)
+    profiles = spark.createDataFrame([], "namespace string, keywords array<string>, file_types array<string>, structure_clues array<string>")
+    mapping = spark.createDataFrame([], "repo_name string, namespace string")
+    _, targets = plan_probes(asked, _vectors(spark), profiles, mapping, text_embedder(_load_model, "probe_text"))
+    assert targets.count() == 128 and len(targets.inputFiles()) > 1
