@@ -103,9 +103,10 @@ def write_vectors(rows: DataFrame, path: str, buckets: int = BUCKETS, streams: d
                                  + [T.StructField(n, k) for n, k in _KINDS.items()])
     written = (spark.read.schema(stored_schema).option("basePath", f"{path}/{DATA}").parquet(data)
                .groupBy("namespace", "bucket", F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows")))
-    touched = placed.select("namespace", "bucket").distinct()
-    kept = manifest(spark, path, head).join(touched, ["namespace", "bucket"], "left_anti")
-    kept.unionByName(written).write.parquet(f"{path}/{MANIFESTS}/v={attempt}")
+    if head:  # a new table keeps nothing, so its rows need not be made again to see what they touch
+        touched = placed.select("namespace", "bucket").distinct()
+        written = manifest(spark, path, head).join(touched, ["namespace", "bucket"], "left_anti").unionByName(written)
+    written.write.parquet(f"{path}/{MANIFESTS}/v={attempt}")
     if before_commit:
         before_commit()
     streams_now = {**(head or {}).get("streams", {}), **(streams or {})}

@@ -52,3 +52,17 @@ def test_replayed_batch_writes_no_version(spark):
     version = V.current_commit(spark, path)["version"]
     assert not S.apply_sync_to_table(path, sync, 4, stream=("feed", 0))
     assert V.current_commit(spark, path)["version"] == version and V.current_commit(spark, path)["streams"] == {"feed": 0}
+
+
+def test_rows_of_a_new_table_are_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(20).selectExpr("cast(id as string) as id", "'n' || id % 3 as namespace", "'f' || id as file_path", "'x' as content")
+    V.write_vectors(rows.mapInArrow(count, rows.schema), str(tmp_path / "t"), 2)
+    assert made.value == 20
+    assert V.read_vectors(spark, str(tmp_path / "t")).count() == 20
