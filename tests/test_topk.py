@@ -127,3 +127,40 @@ def test_bound_loses_nothing_among_near_ties(crowded, monkeypatch):
         assert len(got) == k[q] and rank[query == q].tolist() == list(range(k[q]))
         assert np.abs(got - np.sort(keys)[::-1][:k[q]]).max() <= 1 and len(set(vector[query == q])) == k[q]
         assert all(a < b for a, b, x, y in zip(vector[query == q], vector[query == q][1:], got, got[1:]) if x == y)
+
+
+def _scored(exact, queries, k):
+    """Each query's k best by keys, ties to the vector that comes first."""
+    keys = np.rint(queries @ exact.T * topk._UNIT)
+    return [np.lexsort((np.arange(len(exact)), -row))[:n].tolist() for row, n in zip(keys, k)]
+
+
+@pytest.mark.parametrize("dense", [False, True])
+@pytest.mark.parametrize("vectors", [1, 9, 511, 512, 513, 1024, 1500])
+def test_tiles_of_any_size_give_every_best_pair(vectors, dense, monkeypatch):
+    if dense:
+        monkeypatch.setattr(topk, "EXACT_PAIRS", 0)
+        monkeypatch.setattr(topk, "CROWDED", 0)
+        monkeypatch.setattr(topk, "DENSE_CELLS", 9 * vectors)
+    rng = np.random.default_rng(vectors)
+    exact, queries = rng.normal(size=(vectors, 8)), rng.normal(size=(70, 8))
+    exact[vectors // 2:] *= -1
+    exact[::7] = exact[0]  # ties over all tiles
+    exact, queries = (x / np.linalg.norm(x, axis=1)[:, None] for x in (exact, queries))
+    k = 1 + np.arange(70) % 12
+    k[5], k[6] = vectors, 3 * vectors  # all of them, and more than there are
+    query, vector, _, rank = topk._best(exact, exact.astype(np.float32), queries, k, np.full(2 * 70 * vectors, np.inf, np.float32))
+    for q, best in enumerate(_scored(exact, queries, k)):
+        assert vector[query == q].tolist() == best and rank[query == q].tolist() == list(range(len(best)))
+
+
+def test_only_columns_that_reach_the_bound_are_looked_at_again(monkeypatch):
+    """The scores are passed over in tiles; whole rows of scores are not compared with the bound."""
+    rng = np.random.default_rng(1)
+    exact, queries = rng.normal(size=(20 * topk.GROUPS, 16)), rng.normal(size=(30, 16))
+    exact, queries = (x / np.linalg.norm(x, axis=1)[:, None] for x in (exact, queries))
+    seen, found = [], np.flatnonzero
+    monkeypatch.setattr(topk.np, "flatnonzero", lambda x: seen.append(x.size) or found(x))
+    query, vector, _, _ = topk._best(exact, exact.astype(np.float32), queries, np.full(30, 3))
+    assert seen[0] == 30 * topk.GROUPS
+    assert [vector[query == q].tolist() for q in range(30)] == _scored(exact, queries, np.full(30, 3))
