@@ -30,11 +30,13 @@ def plan_probes(requests: DataFrame, vectors: DataFrame, profiles: DataFrame, ma
     """(probes, targets): embedded probes, and the (query, namespace) rows behind them.
 
     Both are written once: every search step reads them, and the model must not be asked
-    the same texts again.
+    the same texts again. Probes carry what searches use and their text; the analysis of a
+    question, which is the same for all its probes, stays in ``targets``.
     """
     asked = spread(requests.where(F.coalesce("query", F.lit("")) != ""))
     targets = staged(R.resolve_namespaces(analyze_query(asked), vectors, mapping, defaults), "targets")
-    probes = staged(embed(R.expand_probe_text(R.strategy_probes(targets, profiles))), "probes")
+    embedded = embed(R.expand_probe_text(R.strategy_probes(targets, profiles)))
+    probes = staged(embedded.select(*R.PROBE_COLUMNS, "term", "probe_text", "need", "k", "qvec"), "probes")
     return probes, targets
 
 

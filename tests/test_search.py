@@ -66,3 +66,14 @@ def test_questions_of_one_partition_are_analysed_by_many_tasks(spark):
     mapping = spark.createDataFrame([], "repo_name string, namespace string")
     _, targets = plan_probes(asked, _vectors(spark), profiles, mapping, text_embedder(_load_model, "probe_text"))
     assert targets.count() == 128 and len(targets.inputFiles()) > 1
+
+
+def test_probes_carry_only_what_searches_use(spark):
+    from lakesearch.operators.retrieval import PROBE_COLUMNS
+    from lakesearch.plans.search import plan_probes
+    asked = spark.createDataFrame([(1, "where is main1.py", None)], "query_id int, query string, repositories array<string>")
+    profiles = spark.createDataFrame([("a", ["main"], [".py"], ["src"])], "namespace string, keywords array<string>, file_types array<string>, structure_clues array<string>")
+    mapping = spark.createDataFrame([], "repo_name string, namespace string")
+    probes, targets = plan_probes(asked, _vectors(spark), profiles, mapping, text_embedder(_load_model, "probe_text"))
+    assert set(probes.columns) == {*PROBE_COLUMNS, "term", "probe_text", "need", "k", "qvec"}
+    assert probes.count() and {"query", "entities", "specific_targets", "intent_keywords"} <= set(targets.columns)
