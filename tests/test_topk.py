@@ -164,3 +164,37 @@ def test_only_columns_that_reach_the_bound_are_looked_at_again(monkeypatch):
     query, vector, _, _ = topk._best(exact, exact.astype(np.float32), queries, np.full(30, 3))
     assert seen[0] == 30 * topk.GROUPS
     assert [vector[query == q].tolist() for q in range(30)] == _scored(exact, queries, np.full(30, 3))
+
+
+@pytest.mark.parametrize("batch_bytes, written", [(64 << 20, 0), (900, 1)])
+def test_probes_are_written_only_where_cells_are_merged(spark, monkeypatch, batch_bytes, written):
+    names, staged = [], topk.staged
+    monkeypatch.setattr(topk, "BATCH_BYTES", batch_bytes)
+    monkeypatch.setattr(topk, "staged", lambda df, name: names.append(name) or staged(df, name))
+    vectors, probes = _data()
+    out = topk.top_k(spark.createDataFrame(vectors, VECTORS_DDL), spark.createDataFrame(probes, PROBES_DDL), ["number"])
+    assert out.count() == sum(map(len, _brute(vectors, probes).values()))
+    assert names.count("numbered") == written
+
+
+def test_probes_of_one_key_are_each_answered(spark):
+    rows = spark.createDataFrame([("s", "a", 0, [1.0, 0.0]), ("s", "b", 0, [0.0, 1.0])], VECTORS_DDL)
+    asked = spark.createDataFrame([("s", n, 0, 1, q) for n in (1, None) for q in ([1.0, 0.0], [1.0, 0.0], [0.0, 1.0])], PROBES_DDL)
+    got = [(r.number, r.id, r["rank"]) for r in topk.top_k(rows, asked, ["number"]).collect()]
+    assert sorted(got, key=str) == sorted([(n, i, 1) for n in (1, None) for i in "aab"], key=str)
+
+
+@pytest.mark.parametrize("size", [1, 2, 100])
+def test_cells_that_share_a_place_are_kept_apart(size):
+    """Rows are sorted by one number only, a hash of the cell and the side; two cells with one hash come mixed."""
+    import pyarrow as pa
+    rows = [(scope, 0, side, 6 + side, {"id": f"{scope}{i}"} if not side else None, {"number": i} if side else None, [1.0, float(i)])
+            for side in (0, 1) for i in range(3) for scope in "ab"]
+    rows.append(("c", 0, 1, 9, None, {"number": 7}, [1.0, 1.0]))  # a cell without vectors
+    names = ["scope", "block", "side", "place", "row", "asked", "vec"]
+    table = pa.table({n: pa.array([r[i] for r in rows]) for i, n in enumerate(names)})
+    block = table.column("block")
+    table = table.drop_columns("block").append_column("v_block", block).append_column("p_block", block)
+    table = table.append_column("mask", pa.array([0] * len(rows), pa.int32())).append_column("k", pa.array([1] * len(rows), pa.int32()))
+    found = [(r["row"]["id"], r["asked"]["number"]) for b in topk._score_cells(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    assert sorted(found) == [(f"{scope}{i}", i) for scope in "ab" for i in range(3)]
