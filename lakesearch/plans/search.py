@@ -42,16 +42,21 @@ def plan_probes(requests: DataFrame, vectors: DataFrame, profiles: DataFrame, ma
 
 def agentic_search(requests: DataFrame, vectors: DataFrame, profiles: DataFrame, mapping: DataFrame,
                    embed: Embed, embed_query: Embed, defaults: list[str] = ()) -> DataFrame:
-    """Analysis → namespaces → probes → matches → de-duplication → ten best per query.
+    """Analysis → namespaces → probes → matches → de-duplication → ten best per query."""
+    return searched(requests, vectors, profiles, mapping, embed, embed_query, defaults)[0]
 
-    ``embed`` adds ``qvec`` to probes by their text, ``embed_query`` to requests. Matches are written once,
-    as the fallback reads them twice, and so is the result, whose size then decides how it is joined.
+
+def searched(requests: DataFrame, vectors: DataFrame, profiles: DataFrame, mapping: DataFrame,
+             embed: Embed, embed_query: Embed, defaults: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(matches of ``agentic_search``, targets), for answers that also tell where was searched.
+
+    ``embed`` adds ``qvec`` to probes by their text, ``embed_query`` to requests. The ten best are written once, as the
+    fallback reads them twice, and their size then decides how they are joined. A query that has a match has one among them.
     """
     probes, targets = plan_probes(requests, vectors, profiles, mapping, embed, defaults)
-    matches = staged(R.boosted_rank(R.dedupe_first_seen(R.union_provenance(vectors, probes, profiles))), "matches")
+    matches = R.boosted_rank(R.dedupe_first_seen(R.union_provenance(vectors, probes, profiles)))
     basic = embed_query(targets.select("query_id", "query", "query_type", "namespace", "namespace_ord")).drop("query")
-    found = R.fallback_basic(matches, vectors, basic)
-    return staged(R.final_top10(found), "best")
+    return R.fallback_basic(staged(R.final_top10(matches), "best"), vectors, basic, R.final_top10), targets
 
 
 def all_namespace_search(requests: DataFrame, vectors: DataFrame) -> DataFrame:

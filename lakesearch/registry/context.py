@@ -36,7 +36,8 @@ def build_prompt(spark, sf):
 
 
 def answer_footer(spark, sf):
-    return A.answer_footer(base._targets(spark, sf), base.agentic(spark, sf))
+    found, targets = base.searched(spark, sf)
+    return A.answer_footer(targets, found)
 
 
 def no_match_rows(spark, sf):
@@ -47,9 +48,8 @@ def attach_answers(spark, sf):
     """A part's type stands for the answer to its question; one question in four has none."""
     answers = table(spark, sf, "part").selectExpr(
         "p_partkey as query_id", "case when p_partkey % 4 <> 0 then p_type end as answer")
-    found = base.agentic(spark, sf)
-    return A.attach_answers(base.requests(spark, sf).where("query <> ''"), found,
-                            A.answer_footer(base._targets(spark, sf), found), answers)
+    found, targets = base.searched(spark, sf)
+    return A.attach_answers(base.requests(spark, sf).where("query <> ''"), found, A.answer_footer(targets, found), answers)
 
 
 QUERIES = {f.__name__: f for f in (context_plain, context_markdown, build_prompt, answer_footer, no_match_rows,

@@ -77,3 +77,57 @@ def test_probes_carry_only_what_searches_use(spark):
     probes, targets = plan_probes(asked, _vectors(spark), profiles, mapping, text_embedder(_load_model, "probe_text"))
     assert set(probes.columns) == {*PROBE_COLUMNS, "term", "probe_text", "need", "k", "qvec"}
     assert probes.count() and {"query", "entities", "specific_targets", "intent_keywords"} <= set(targets.columns)
+
+
+MATCH = ("query_id int, query_type string, namespace string, namespace_ord int, id string, file_path string, line_start int, score double, "
+         "rank int, strategy string, strategy_ord int, confidence double, term_pos int")
+
+
+def test_ranking_deals_matches_once(spark):
+    from lakesearch.operators import retrieval as R
+    rows = [(q, "code_search", "a", 0, f"v{i}", f"f{i % 15}", 1, i / 100, 1, "semantic_repository_search", 2, 0.7, i) for q in (1, 2, None) for i in range(40)]
+    top = R.final_top10(R.boosted_rank(R.dedupe_first_seen(spark.createDataFrame(rows, MATCH))))
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert sorted((r.query_id or 0, r.final_rank, r.id) for r in top.collect()) == [(q, n + 1, f"v{14 - n}") for q in (0, 1, 2) for n in range(10)]
+
+
+def test_fallback_ranks_only_what_it_adds(spark):
+    from lakesearch.operators import retrieval as R
+    rows = [(q, "code_search", "a", 0, f"m{i}", f"f{i}", 1, 0.5 - i / 100, 1, "semantic_repository_search", 2, 0.7, i) for q in (1, None) for i in range(8)]
+    asked = spark.createDataFrame([(q, "code_search", "a", 0, [1.0, 3.0]) for q in (1, 2, None)],
+                                  "query_id int, query_type string, namespace string, namespace_ord int, qvec array<float>")
+    ranked = R.boosted_rank(spark.createDataFrame(rows, MATCH))
+    best, vectors = R.final_top10(ranked), _vectors(spark)
+
+    def shown(df):
+        return sorted(((r.query_id or 0, r.final_rank, r.id, round(r.score, 9)) for r in df.collect()))
+
+    # A null id is searched again beside its matches, and its ten best are of both.
+    want = shown(R.final_top10(R.fallback_basic(ranked, vectors, asked)))
+    assert [sum(q == x[0] for x in want) for q in (0, 1, 2)] == [10, 8, 5]
+    found = R.fallback_basic(best, vectors, asked, R.final_top10)
+    assert shown(found) == want
+
+
+def test_distinct_terms_are_found_once(spark, monkeypatch):
+    from lakesearch.operators import retrieval as R
+    names, staged = [], R.staged
+    monkeypatch.setattr(R, "staged", lambda df, name: names.append(name) or staged(df, name))
+    terms = spark.createDataFrame([("a", "direct_entity_search", "Widget")] * 3, "namespace string, strategy string, term string")
+    assert [r.id for r in R.match_terms(_vectors(spark), terms).collect()] == ["a05"] and names == ["terms"]
+
+
+def test_answers_share_the_analysis_of_their_search(spark, tmp_path, monkeypatch):
+    from lakesearch.plans import search
+    from lakesearch.registry import context, retrieval
+    spark.createDataFrame([(i, f"part {i}", "kind") for i in range(40)], "p_partkey long, p_name string, p_type string") \
+        .write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(i, [1.0, float(i)], i % 5) for i in range(30)], "vec_id long, embedding array<float>, label int") \
+        .write.parquet(str(tmp_path / "embeddings.parquet"))
+    calls, analyze = [], search.analyze_query
+    for owner in (search, retrieval):
+        monkeypatch.setattr(owner, "analyze_query", lambda df: calls.append(1) or analyze(df))
+    for query in (context.answer_footer, context.attach_answers):
+        calls.clear()
+        assert query(spark, str(tmp_path)).count() == 36 and len(calls) == 1
